@@ -6,7 +6,7 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,23 +71,25 @@ def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, i
 def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, nth): token pieces of whole texts, ``nth`` of their length in their task."""
 
+    out = pa.schema([(n, pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth")])
+
     def cut(batches):
         enc, nth, part = encoder(path), {}, TaskContext.get().partitionId()
-        for pdf in batches:
-            ids_of, texts = pdf["doc_id"].tolist(), [t or "" for t in pdf["text"].tolist()]
+        for batch in batches:
+            doc_ids = batch.column(0).to_pylist()
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             for lo, hi in slices(texts):
                 rows = []
-                for doc_id, ids in zip(ids_of[lo:hi], enc.encode(texts[lo:hi]), strict=True):
+                for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi]), strict=True):
                     ids = np.append(ids, enc.dtype(end_id)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), context)):
                         piece = ids[start : start + context]
                         n = nth[len(piece)] = nth.get(len(piece), -1) + 1
-                        rows.append((doc_id, k, start, len(piece), zlib.crc32(piece.tobytes()), part, n))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+                        rows.append((doc_id, k, start, len(piece), zlib.crc32(piece), part, n))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long")
+    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece long, start long, length long, ids_crc32 long, part long, nth long")
+    return found.withColumn("piece", F.col("piece").cast("int"))
 
 
 def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:

@@ -136,12 +136,12 @@ def _signed(x: int) -> int:
 
 def _forest(fps: np.ndarray, own: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Edges that join what links of at most ``radius`` bits between an owner and any other join in one bucket."""
-    todo, edges = np.arange(len(fps)), []
+    todo, edges, bits = np.arange(len(fps)), [], fps.view(np.uint64)  # counts of signed numbers are those of their absolute value
     while len(todo):
         queue, todo = [int(todo[0])], todo[1:]
         while queue and len(todo):
             i = queue.pop()
-            near = np.bitwise_count(fps[todo] ^ fps[i]) <= radius
+            near = np.bitwise_count(bits[todo] ^ bits[i]) <= radius
             if not own[i]:
                 near &= own[todo]
             hit = todo[near]
@@ -194,6 +194,7 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
 
     def found(pdf, starts, n):
         fps, own = pdf["fp"].to_numpy(np.int64), pdf["own"].to_numpy(bool)
+        bits = fps.view(np.uint64)
         ends = np.r_[starts[1:], n]
         size = ends - starts
         edges = [np.empty((0, 2), np.int64)]
@@ -206,7 +207,7 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
             idx = idx[idx + d < end[idx]]
             if not len(idx):
                 break
-            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(fps[idx] ^ fps[idx + d]) <= radius)]
+            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(bits[idx] ^ bits[idx + d]) <= radius)]
             if len(ok):
                 edges.append(np.column_stack([fps[ok], fps[ok + d]]))
         e = np.concatenate(edges)
