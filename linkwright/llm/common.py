@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import tempfile
@@ -52,8 +53,8 @@ class WordCachedEncoder:
     """
 
     WHOLE = re.compile("[\x1c-\x1f]|<\\|")
-    PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
-    STOP = re.compile("(?<=[^\\W_])[.,](?=\\s)")
+    PLAIN = re.compile("[^\x00-\u012f\u0131-\u023f]")
+    STOP = re.compile("[.,](?<=[^\\W_].)(?=\\s)")
     LONGEST = 64
     MARK = "|"
 
@@ -71,30 +72,60 @@ class WordCachedEncoder:
         mark = self._ids(self.MARK)
         self.mark = mark[0] if len(mark) == 1 and self._ids(f"ab {self.MARK} cd") == self._ids("ab") + mark + self._ids("cd") else None
 
+        self.letters = self._letters() if self.cuts and self.mark is not None else None
+
+    def _letters(self):
+        """The same vocabulary without the normaliser and patterns, which leave words of small Latin letters as they are."""
+        from tokenizers import Tokenizer
+
+        own = json.loads(self.tokenizer.to_str())
+        own["normalizer"] = None
+        split = [p for p in own["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "ByteLevel"]
+        own["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *split]}
+        plain = Tokenizer.from_str(json.dumps(own))
+        probe = f"zebra {self.MARK} éclair {self.MARK} ñandú"
+        return plain if split and plain.encode(probe, add_special_tokens=False).ids == self._ids(probe) else None
+
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _one(self, text: str) -> bytes:
         return np.array(self._ids(text), dtype=self.dtype).tobytes()
 
-    def words(self, text: str) -> list[str] | None:
-        """The text's words as they are encoded; None where it must be encoded whole."""
-        if self.WHOLE.search(text):
+    def words(self, text: str, checked: bool = False) -> list[str] | None:
+        """The text's words as they are encoded; None where it must be encoded whole. checked: it is known to be plain."""
+        if not checked and self.WHOLE.search(text):
             return None
-        if self.cuts and (text.isascii() or not self.PLAIN.search(text)):
+        if self.cuts and (checked or text.isascii() or not self.PLAIN.search(text)):
             text = self.STOP.sub(r" \g<0>", text.lower())
         return text.split()
 
+    @staticmethod
+    def plain(texts: list[str]) -> bool:
+        """Whether no text has what WHOLE or PLAIN look for, seen at once (U+0240 and above begin with byte C9 or more)."""
+        joined = "".join(texts)
+        raw = np.frombuffer(joined.encode(), dtype=np.uint8)
+        return "<|" not in joined and "\u0130" not in joined and not ((raw >= 0xC9) | ((raw >= 0x1C) & (raw < 0x20))).any()
+
     def _learn(self, words: list[str], into: dict[str, bytes]) -> None:
         """Encodes distinct words many at a time, a mark between them, and cuts the ids at the marks."""
-        joined = [] if self.mark is None else [w for w in words if self.MARK not in w]
-        for w in words if self.mark is None else (w for w in words if self.MARK in w):
-            into[w] = self._one(w)
+        joined, letters = [], []
+        for w in words:
+            if self.mark is None or self.MARK in w:
+                into[w] = self._one(w)
+            elif self.letters and w.isalpha() and w.islower() and (w.isascii() or not self.PLAIN.search(w)):
+                letters.append(w)
+            else:
+                joined.append(w)
+        self._learn_by(self.tokenizer, joined, into)
+        self._learn_by(self.letters, letters, into)
+
+    def _learn_by(self, tokenizer, joined: list[str], into: dict[str, bytes]) -> None:
         sep, width = f" {self.MARK} ", np.dtype(self.dtype).itemsize
         for at in range(0, len(joined), 4000):
             part = joined[at : at + 4000]
             groups = [part[i : i + 100] for i in range(0, len(part), 100)]
-            for group, e in zip(groups, self.tokenizer.encode_batch_fast([sep.join(g) for g in groups], add_special_tokens=False), strict=True):
+            for group, e in zip(groups, tokenizer.encode_batch_fast([sep.join(g) for g in groups], add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, dtype=self.dtype)
                 raw, start = ids.tobytes(), 0
                 for w, end in zip(group, [*(np.flatnonzero(ids == self.mark) * width).tolist(), len(raw)], strict=True):
@@ -103,7 +134,8 @@ class WordCachedEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text as a numpy array."""
-        split = [self.words(t) for t in texts]
+        checked = self.plain(texts)
+        split = [self.words(t, checked) for t in texts]
         seen: set[str] = set()
         for words in split:
             if words:
@@ -111,16 +143,14 @@ class WordCachedEncoder:
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new, long_ = [], {}
-        for w in seen:
-            if w not in young:
-                if (known := old.get(w)) is not None:
-                    young[w] = known
-                elif len(w) > self.LONGEST:
-                    long_[w] = self._one(w)
-                else:
-                    new.append(w)
-        self._learn(new, young)
+        new = seen.difference(young)
+        del seen
+        if old:
+            known = new.intersection(old)
+            young.update(zip(known, map(old.__getitem__, known), strict=True))
+            new -= known
+        long_ = {w: self._one(w) for w in new if len(w) > self.LONGEST}
+        self._learn([w for w in new if w not in long_] if long_ else list(new), young)
         get = young.__getitem__
         out = []
         for t, words in zip(texts, split, strict=True):

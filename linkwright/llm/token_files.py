@@ -55,14 +55,16 @@ def read_table(table: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Codec:
     def __init__(self, table: bytes):
         self.ids, self.freq, self.start = read_table(table)
+        self.place = np.full(1 << 8 * (2 if not len(self.ids) or self.ids[-1] < 1 << 16 else 3), len(self.ids), dtype=np.intp)
+        self.place[self.ids] = np.arange(len(self.ids))
         self.slots = np.repeat(np.arange(len(self.ids), dtype=np.uint32), self.freq.astype(np.int64))
 
     def encode(self, ids: np.ndarray, lanes: int = LANES, every: int = CHECKPOINT_STEPS) -> bytes:
         n = len(ids)
         lanes = max(1, min(lanes, n // 128))
         steps = -(-n // lanes)
-        sym = np.searchsorted(self.ids, ids)
-        if n and (self.ids[sym.clip(max=len(self.ids) - 1)] != ids).any():
+        sym = self.place[ids]
+        if n and int(sym.max()) == len(self.ids):
             raise ValueError("an id isn't in the table")
         x = np.full(lanes, LOW, dtype=np.uint64)
         out, marks, written, bits = [], [], 0, np.uint64(BITS)
