@@ -9,6 +9,7 @@ from linkwright.llm.packing import op9_best_fit_packing
 from linkwright.llm.secrets import op1_secret_scan
 from linkwright.llm.sharding import op8_sharding
 from linkwright.llm.simhash import op3_simhash_near_dedup
+from linkwright.llm.substring_dedup import op10_substring_dedup
 from linkwright.llm.token_counts import op5_token_counts
 from linkwright.llm.token_files import op7_token_files
 
@@ -24,6 +25,7 @@ def queries() -> dict:
         op7_token_files,
         op8_sharding,
         op9_best_fit_packing,
+        op10_substring_dedup,
     )
     return {f.__name__: f for f in found}
 
