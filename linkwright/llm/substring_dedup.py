@@ -26,9 +26,9 @@ from linkwright.llm.suffix_sort import deep_shallow
 LENGTH = 400
 GRAM = 32
 #: Different contexts of one anchor that are sorted together; anchors with more are split.
-GROUP = 200
+GROUP = 4096
 #: Contexts that one call sorts.
-BLOCK = 3000
+BLOCK = 4096
 #: Numbers of neighbouring places that keep together when an anchor is split, by level.
 WIDTHS = (93, 24, 6, 2, 1)
 
