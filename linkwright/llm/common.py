@@ -180,7 +180,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def slices(texts: list[str], chars: int = 1_000_000):
+def slices(texts: list[str], chars: int = 4_000_000):
     """Index ranges of at most about ``chars`` characters, so that a batch's ids stay small."""
     start = total = 0
     for i, t in enumerate(texts):

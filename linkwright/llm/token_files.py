@@ -23,9 +23,9 @@ from linkwright.llm.common import documents, encoder, fresh_path, slices, tokeni
 
 BITS = 18
 LOW = np.uint64(1 << 31)
-LANES = 2048
+LANES = 4096
 CHECKPOINT_STEPS = 64
-BLOCK_IDS = 1 << 19
+BLOCK_IDS = 1 << 20
 MAGIC = 0x31534E52
 HEAD = struct.Struct("<7I")
 END_ID = 1
@@ -41,7 +41,7 @@ def frequency_table(counts: np.ndarray) -> bytes:
     freq = np.maximum(1, np.floor(c * ((total - len(used)) / max(c.sum(), 1)))).astype(np.int64)
     if len(freq):
         freq[np.argmax(freq)] += total - freq.sum()
-    return zlib.compress(np.concatenate([[len(used)], used, freq]).astype("<u4").tobytes(), 6)
+    return zlib.compress(np.concatenate([[len(used)], used, freq]).astype("<u4").tobytes(), 1)
 
 
 def read_table(table: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +165,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the decoded blocks; blocks decode in parallel."""
     blocks = spark.read.parquet(path)
-    # One row per block, without payloads, comes to the driver: 2^19 ids each.
+    # One row per block, without payloads, comes to the driver: 2^20 ids each.
     base, bases = 0, []
     for r in sorted(blocks.select("shard", "block", "ids").collect()):
         bases.append((r[0], r[1], base))
