@@ -139,6 +139,24 @@ def contained_items(docs: DataFrame, items: DataFrame, contained: float = CONTAI
     return out
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, words: int = WORDS) -> DataFrame:
+    """``docs`` without the rows that contain an item, under the rules of ``contained_items``; no shuffle."""
+    items = items.select(F.col("item_id").cast("long"), "text")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
+    at, schema = docs.columns.index("text"), docs.schema
+    for b in range(blocks):
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
+
+        def run(batches, rows=[(r[0], r[1]) for r in block.collect()]):  # noqa: B006
+            index = ContainmentIndex(rows, contained, words)
+            for batch in batches:
+                yield batch.filter(pa.array([not index.search(t) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 

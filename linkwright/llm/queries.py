@@ -14,6 +14,12 @@ from linkwright.llm.token_counts import op5_token_counts
 from linkwright.llm.token_files import op7_token_files
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     found = (
         op1_secret_scan,
@@ -26,6 +32,7 @@ def queries() -> dict:
         op8_sharding,
         op9_best_fit_packing,
         op10_substring_dedup,
+        pipeline,
     )
     return {f.__name__: f for f in found}
 

@@ -70,6 +70,31 @@ def spans(docs: DataFrame, id_cols: list[str], scope: int = SCOPE) -> DataFrame:
     return rows.groupBy("_rid", *id_cols).agg(F.sort_array(F.collect_list(span)).alias("found")).drop("_rid")
 
 
+def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with each found span in ``text`` replaced by ``mark`` (overlapping ones together); null texts stay null.
+
+    A column ``n_chars`` follows the new text where it changed. Every row stays.
+    """
+    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+    found = spans(rows.select("_rid", "text").withColumnRenamed("_rid", "_row"), ["_row"]).where(F.size("found") > 0)
+    rows = rows.join(found, rows["_rid"] == found["_row"], "left")
+    text = F.col("text")
+    piece = lambda a, b: F.substring(text, a + 1, b - a)
+
+    def step(acc: Column, s: Column) -> Column:
+        apart = s["start"] >= acc["at"]
+        out = F.when(apart, F.concat(acc["out"], piece(acc["at"], s["start"]), F.lit(mark))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    new = F.aggregate("found", zero, step, lambda acc: F.concat(acc["out"], piece(acc["at"], F.length(text))))
+    rows = rows.withColumn("_new", F.when(F.col("found").isNotNull(), new).otherwise(text))
+    changed = {"text": F.col("_new")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("found").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rows.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def _digest(found: Column) -> Column:
     names = F.array(*[F.lit(n) for n in NAMES])
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")

@@ -114,14 +114,14 @@ def allocate(n: int, both: np.ndarray, groups: list[list[int]], radius: int) ->
     return best[radius - len(groups) + 1]
 
 
-def plan(n: int, both: np.ndarray, radius: int) -> list[tuple[int, list[int]]]:
-    """The cheaper of several groupings: (mask of the group's bits, masks to flip when probing) for each probed group.
+def plan(n: int, both: np.ndarray, radius: int, most_parts: int | None = None) -> list[tuple[int, list[int]]]:
+    """The cheapest of several groupings: (mask of the group's bits, masks to flip when probing) for each probed group.
 
-    At most (radius + 2) / 2 groups are tried: with more, groups get so narrow that candidates grow with the square
-    of the input. Below some 10^8 fingerprints three groups win, with 45 keys a fingerprint.
+    At most ``most_parts`` groups are tried, (radius + 2) / 2 by default: with more, groups get so narrow that
+    candidates grow with the square of the input.
     """
     options = []
-    for parts in range(2, max(2, (radius + 2) // 2) + 1):
+    for parts in range(2, (most_parts or max(2, (radius + 2) // 2)) + 1):
         groups = group_bits(n, both, parts)
         cost, ts = allocate(n, both, groups, radius)
         options.append((cost, parts, groups, ts))
@@ -139,23 +139,35 @@ def _signed(x: int) -> int:
 
 
 def _forest(fps: np.ndarray, own: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Edges that join what links of at most ``radius`` bits between an owner and any other join in one bucket."""
-    todo, edges, bits = np.arange(len(fps)), [], fps.view(np.uint64)  # counts of signed numbers are those of their absolute value
+    """Edges that join what links of at most ``radius`` bits between an owner and any other join in one bucket.
+
+    Owners are compared with owners not reached yet and with all others; of links inside what is joined already,
+    none is given.
+    """
+    bits = fps.view(np.uint64)  # counts of signed numbers are those of their absolute value
+    todo, others = np.flatnonzero(own), np.flatnonzero(~own)
+    group = np.full(len(fps), -1)
+    edges, k = [], 0
     while len(todo):
-        queue, todo = [int(todo[0])], todo[1:]
-        while queue and len(todo):
+        queue, todo, k = [int(todo[0])], todo[1:], k + 1
+        while queue:
             i = queue.pop()
             near = np.bitwise_count(bits[todo] ^ bits[i]) <= radius
-            if not own[i]:
-                near &= own[todo]
-            hit = todo[near]
-            edges += [(fps[i], fps[j]) for j in hit]
-            queue += hit.tolist()
-            todo = todo[~near]
+            if near.any():
+                hit = todo[near]
+                edges += [(fps[i], fps[j]) for j in hit]
+                queue += hit.tolist()
+                todo = todo[~near]
+            for j in others[(np.bitwise_count(bits[others] ^ bits[i]) <= radius) & (group[others] != k)].tolist():
+                if group[j] != k:
+                    edges.append((fps[i], fps[j]))
+                    if group[j] >= 0:
+                        group[group == group[j]] = k
+                    group[j] = k
     return edges
 
 
-def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan: list | None = None) -> DataFrame:
+def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan: list | None = None, most_parts: int | None = None) -> DataFrame:
     """Verified edges (a, b) between distinct fingerprints in ``nodes.fp``: the closure is that of all links.
 
     Each fingerprint owns one key in each group of bits and probes the keys within the group's threshold. Buckets
@@ -167,7 +179,7 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
         n, both = bit_statistics(nodes)
         if n < 2:
             return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-        probe_plan = plan(n, both, radius)
+        probe_plan = plan(n, both, radius, most_parts)
     spark = nodes.sparkSession
     probes = spark.createDataFrame([(g, _signed(m), _signed(f)) for g, (m, flips) in enumerate(probe_plan) for f in flips], "g int, m long, f long")
     owners = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(_signed(m)).alias("m")) for g, (m, _) in enumerate(probe_plan)])
@@ -221,7 +233,7 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
     return rows.mapInPandas(run, "a long, b long").distinct()
 
 
-def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id): components of links at ``radius`` bits or fewer; equal fingerprints are one node.
 
     ``component_id`` is the smallest doc_id in the component (null ids count only where there is no other). Repeated
@@ -229,13 +241,67 @@ def near_groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     prints = checkpoint(prints)
     nodes = checkpoint(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(link(nodes, radius))
+    roots = components(link(nodes, radius, most_parts=most_parts))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     rooted = checkpoint(rooted)
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     return prints.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+#: The filter's own parameters: five words, links to 8 bits, and removal at an estimated similarity of 0.8 or more.
+FILTER_WORDS, FILTER_RADIUS, FILTER_PARTS, FILTER_SIMILARITY = 5, 8, 4, 0.8
+SKETCH = 256
+
+
+def sketch(text: str | None, words: int = FILTER_WORDS) -> bytes:
+    """One-permutation MinHash of the distinct shingles: for each of 256 bins the 16 high bits of its least hash, or zeros."""
+    import xxhash
+
+    w = (text or "").encode().lower().split()
+    if not w:
+        return b""
+    h = np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), 7) for i in range(max(1, len(w) - words + 1))], dtype=np.uint64)
+    least = np.full(SKETCH, np.uint64(0xFFFFFFFFFFFFFFFF))
+    np.minimum.at(least, (h % np.uint64(SKETCH)).astype(np.intp), h)
+    return np.where(least == np.uint64(0xFFFFFFFFFFFFFFFF), 0, (least >> np.uint64(8)) & np.uint64(0xFFFF) | np.uint64(1)).astype("<u2").tobytes()
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` without rows that repeat the first row of their SimHash component with an estimated shingle similarity of 0.8 or more.
+
+    Links reach further (8 bits) than two texts at 0.8 tend to lie apart, so chains and chance links occur; therefore
+    only what the sketches find similar to the row that stays goes. Rows are told apart by position, so repeated
+    rows and null ids are fine. Empty and null texts are copies of each other.
+    """
+    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+
+    def run(batches):
+        for pdf in batches:
+            fp = np.array([fingerprint(t, FILTER_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({"doc_id": pdf["_rid"], "fp": fp, "sketch": [sketch(t) for t in pdf["text"]]})
+
+    prints = checkpoint(rows.select("_rid", "text").mapInPandas(run, "doc_id long, fp long, sketch binary"))
+    groups = near_groups(prints.select("doc_id", "fp"), FILTER_RADIUS, FILTER_PARTS)
+    pairs = groups.where("doc_id != component_id").select("doc_id", "component_id")
+    pairs = pairs.join(prints.select("doc_id", F.col("sketch").alias("mine")), "doc_id")
+    pairs = pairs.join(prints.select(F.col("doc_id").alias("component_id"), F.col("sketch").alias("first")), "component_id")
+
+    def similar(batches):
+        for pdf in batches:
+            ok = []
+            for a, b in zip(pdf["mine"], pdf["first"], strict=True):
+                if not len(a) or not len(b):
+                    ok.append(len(a) == len(b))
+                    continue
+                x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
+                used = (x > 0) | (y > 0)
+                ok.append(np.count_nonzero((x == y) & used) >= FILTER_SIMILARITY * np.count_nonzero(used))
+            yield pd.DataFrame({"_rid": pdf["doc_id"][np.array(ok, dtype=bool)]})
+
+    gone = checkpoint(pairs.select("doc_id", "mine", "first").mapInPandas(similar, "_rid long"))
+    return rows.join(gone, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_groups(fingerprints(documents(spark, sf_dir)))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
