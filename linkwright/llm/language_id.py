@@ -169,7 +169,7 @@ class WordTagger:
         return cls(labels, weights, t, lexicon)
 
     def _ids(self, docs: list[list[str]]) -> list[np.ndarray]:
-        if len(self.rows) > 200_000:
+        if len(self.rows) > 150_000:
             self.rows, self.scores = {}, self.scores[:0]
         rows = self.rows
         new = list({w for words in docs for w in words if w not in rows})
@@ -255,8 +255,8 @@ def predict(docs: DataFrame, tagger: WordTagger) -> DataFrame:
     def run(batches):
         own = WordTagger(*model.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2500):
-                part = batch.slice(lo, 2500)
+            for lo in range(0, batch.num_rows, 1500):
+                part = batch.slice(lo, 1500)
                 words = [words_of(t) for t in part.column(at).to_pylist()]
                 if own.labels:
                     share = own.shares(words)
