@@ -114,7 +114,10 @@ class WordTagger:
     def fit(cls, samples: list[tuple[str, list[str]]], epochs: int = EPOCHS, seed: int = 5) -> WordTagger:
         """samples: (language, words). Sequences are windows of 20 words, half of them joined with one of another
         document, so that switches are seen; penalised likelihood by Adagrad on all of them."""
+        samples = [(lang, words) for lang, words in samples if words]
         labels = sorted({lang for lang, _ in samples})
+        if not labels:
+            return cls([], np.zeros((DIMENSIONS + 1, 0), np.float32), np.zeros((0, 0)), {})
         code = {lang: i for i, lang in enumerate(labels)}
         rng = np.random.default_rng(seed)
         counts: list[dict[str, int]] = [{} for _ in labels]

@@ -53,8 +53,9 @@ def spans(docs: DataFrame, id_cols: list[str], scope: int = SCOPE) -> DataFrame:
     near: ident near a what, weak near a who, endpoint near both. Null texts are empty; rows with no match have an
     empty array; equal rows stay apart.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), *id_cols, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.select("_rid", *id_cols, F.explode_outer(F.concat(*[_found(k) for k in KINDS])).alias("m")).select("_rid", *id_cols, "m.*")
+    # Columns to keep travel as one struct, so their names can't clash with those here.
+    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct(*id_cols).alias("_ids"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.select("_rid", "_ids", F.explode_outer(F.concat(*[_found(k) for k in KINDS])).alias("m")).select("_rid", "_ids", "m.*")
     each = Window.partitionBy("_rid", "kind").orderBy("nth")
     before = F.sum(F.col("gap") + F.coalesce("size", F.lit(0))).over(each.rowsBetween(Window.unboundedPreceding, 0)) - F.coalesce("size", F.lit(0))
     rows = rows.repartition("_rid").withColumn("start", before.cast("int")).withColumn("ok", F.coalesce(F.col("ok") & F.col("size").isNotNull(), F.lit(False)))
@@ -67,7 +68,7 @@ def spans(docs: DataFrame, id_cols: list[str], scope: int = SCOPE) -> DataFrame:
         is_in(BASE) | ((F.col("kind") == ident) & F.col("what")) | ((F.col("kind") == weak) & F.col("who")) | ((F.col("kind") == endpoint) & F.col("who") & F.col("what"))
     )
     span = F.when(stays, F.struct("start", "kind", (F.col("start") + F.col("size")).alias("end")))
-    return rows.groupBy("_rid", *id_cols).agg(F.sort_array(F.collect_list(span)).alias("found")).drop("_rid")
+    return rows.groupBy("_rid").agg(F.first("_ids").alias("_ids"), F.sort_array(F.collect_list(span)).alias("found")).select("_ids.*", "found")
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
@@ -75,10 +76,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     A column ``n_chars`` follows the new text where it changed. Every row stays.
     """
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
-    found = spans(rows.select("_rid", "text").withColumnRenamed("_rid", "_row"), ["_row"]).where(F.size("found") > 0)
-    rows = rows.join(found, rows["_rid"] == found["_row"], "left")
-    text = F.col("text")
+    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    found = spans(rows.select(F.col("_rid").alias("_key"), "_row.text"), ["_key"]).where(F.size("found") > 0)
+    rows = rows.join(found, rows["_rid"] == found["_key"], "left")
+    text = F.col("_row.text")
     piece = lambda a, b: F.substring(text, a + 1, b - a)
 
     def step(acc: Column, s: Column) -> Column:
@@ -91,8 +92,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     rows = rows.withColumn("_new", F.when(F.col("found").isNotNull(), new).otherwise(text))
     changed = {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("found").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return rows.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        changed["n_chars"] = F.when(F.col("found").isNotNull(), F.length("_new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return rows.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def _digest(found: Column) -> Column:

@@ -273,14 +273,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     only what the sketches find similar to the row that stays goes. Rows are told apart by position, so repeated
     rows and null ids are fine. Empty and null texts are copies of each other.
     """
-    rows = docs.withColumn("_rid", F.monotonically_increasing_id())
+    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
     def run(batches):
         for pdf in batches:
             fp = np.array([fingerprint(t, FILTER_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
             yield pd.DataFrame({"doc_id": pdf["_rid"], "fp": fp, "sketch": [sketch(t) for t in pdf["text"]]})
 
-    prints = checkpoint(rows.select("_rid", "text").mapInPandas(run, "doc_id long, fp long, sketch binary"))
+    prints = checkpoint(rows.select("_rid", "_row.text").mapInPandas(run, "doc_id long, fp long, sketch binary"))
     groups = near_groups(prints.select("doc_id", "fp"), FILTER_RADIUS, FILTER_PARTS)
     pairs = groups.where("doc_id != component_id").select("doc_id", "component_id")
     pairs = pairs.join(prints.select("doc_id", F.col("sketch").alias("mine")), "doc_id")
@@ -299,7 +299,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"_rid": pdf["doc_id"][np.array(ok, dtype=bool)]})
 
     gone = checkpoint(pairs.select("doc_id", "mine", "first").mapInPandas(similar, "_rid long"))
-    return rows.join(gone, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(gone, "_rid", "left_anti").select("_row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
