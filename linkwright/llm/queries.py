@@ -6,7 +6,7 @@ from linkwright.llm.decontamination import OP4_SQL, op4_benchmark_decontaminatio
 from linkwright.llm.language_id import op6_language_id
 from linkwright.llm.media import op2_media_columns
 from linkwright.llm.packing import op9_best_fit_packing
-from linkwright.llm.secrets import op1_secret_scan
+from linkwright.llm.secrets import op1_secret_scan, op1_sql
 from linkwright.llm.sharding import op8_sharding
 from linkwright.llm.simhash import op3_simhash_near_dedup
 from linkwright.llm.substring_dedup import op10_substring_dedup
@@ -38,4 +38,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op4_benchmark_decontamination.__name__: OP4_SQL}
+    return {op1_secret_scan.__name__: op1_sql(), op4_benchmark_decontamination.__name__: OP4_SQL}

@@ -106,3 +106,31 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
     count = lambda k: F.size(F.filter("found", lambda s: s["kind"] == NAMES.index(k))).cast("long")
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in BASE], F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("found")).alias("spans"))
+
+
+def _sql_kind(k: int, kind: str) -> str:
+    pattern, group, least, looks = KINDS[kind]
+    p = pattern.replace("'", "''")
+    ok = " AND ".join([f"length(grp) >= {least}", *[f"regexp_matches(hit, '{x}')" for x in looks]])
+    return (
+        f"SELECT rid, {k} AS kind, nth, gap, hit, ({ok}) AS ok FROM (SELECT rid, unnest(range(1, len(h) + 1)) AS nth, unnest(s[1:len(h)]) AS gap, unnest(h) AS hit, unnest(g) AS grp FROM "
+        f"(SELECT rid, regexp_extract_all(t, '{p}', 0) AS h, regexp_extract_all(t, '{p}', {group}) AS g, string_split_regex(t, '{p}') AS s FROM d WHERE regexp_matches(t, '{p}')))"
+    )
+
+
+def op1_sql() -> str:
+    """The same rows in DuckDB SQL."""
+    index = lambda kinds: "(" + ", ".join(str(NAMES.index(k)) for k in kinds) + ")"
+    names = "[" + ", ".join(f"'{n}'" for n in NAMES) + "]"
+    near = f"OVER (PARTITION BY rid ORDER BY start RANGE BETWEEN {SCOPE} PRECEDING AND {SCOPE} FOLLOWING)"
+    text = f"string_agg({names}[kind + 1] || ':' || start || ':' || (start + length(hit)), ',' ORDER BY start, kind)"
+    counts = ", ".join(f"count(*) FILTER (kind = {k}) AS n_{n}" for k, n in enumerate(BASE))
+    zeros = ", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n in BASE)
+    ident, weak, endpoint = (NAMES.index(k) for k in ("ident", "weak", "endpoint"))
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_sql_kind(k, n) for k, n in enumerate(NAMES))}),
+p AS (SELECT *, (sum(length(gap) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY nth) - length(hit))::INT AS start FROM m),
+n AS (SELECT *, max((ok AND kind IN {index(WHO)})::INT) {near} AS who, max((ok AND kind IN {index(WHAT)})::INT) {near} AS what FROM p),
+x AS (SELECT * FROM n WHERE ok AND (kind < {len(BASE)} OR (kind = {ident} AND what = 1) OR (kind = {weak} AND who = 1) OR (kind = {endpoint} AND who = 1 AND what = 1))),
+g AS (SELECT rid, {counts}, coalesce({text.replace("ORDER BY start, kind)", f"ORDER BY start, kind) FILTER (kind < {len(BASE)})")}, '') AS base, {text} AS spans FROM x GROUP BY rid)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (rid)"""

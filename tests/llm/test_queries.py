@@ -89,6 +89,13 @@ def test_op1(spark, sf):
             assert "weak" not in r["spans"]
 
 
+def test_op1_against_sql(spark, sf):
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet/*.parquet'")
+    got = Q["op1_secret_scan"](spark, sf)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(c.sql(f"SELECT {', '.join(got.columns)} FROM ({secrets.op1_sql()})").fetchall())
+
+
 def test_op2(spark, sf):
     from linkwright.llm.media import pad
 
