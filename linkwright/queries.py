@@ -53,7 +53,8 @@ def _joined(c):
 
 
 def _named():
-    c = lambda n: F.coalesce(F.col(n), F.lit(""))
+    """Functions for the entities' text columns, nulls as ''; they need a session only when called."""
+    c = lambda name: lambda: F.coalesce(F.col(name), F.lit(""))
     return c("name"), c("addr"), c("country")
 
 
@@ -182,26 +183,26 @@ def queries() -> dict:
         "sc9_preview": lambda s, d: _records(_e2(s, d)).orderBy("id").limit(10).select("id", "name"),
         "sc12_truth": lambda s, d: tables.truth_pairs(_lines(s, d, "matching").where("line_no > 1 AND value LIKE '%\t%'").select(F.substring_index("value", "\t", 1).alias("a"), F.expr("substring(value, instr(value, '\t') + 1)").alias("b"))),
         # text
-        "tx1_remove_accents": _text(_e1, lambda: [tx.remove_accents(n).alias("value")]),
-        "tx2_lower": _text(_e1, lambda: [F.lower(tx.remove_accents(n)).alias("value")]),
-        "tx3_strip_urls": _text(_e2, lambda: [tx.strip_urls(F.lower(n)).alias("value")]),
-        "tx4_strip_legal": _text(_e2, lambda: [tx.strip_legal(F.lower(n)).alias("value")]),
-        "tx5_strip_symbols": _text(_e2, lambda: [tx.strip_symbols(F.lower(a)).alias("value")]),
-        "tx6_drop_repeats": _text(_e1, lambda: [tx.drop_repeats(tx.strip_symbols(F.lower(tx.remove_accents(a)))).alias("value")]),
-        "tx7_clean_text": _text(lambda s, d: _e1(s, d).unionByName(_e2(s, d).withColumn("k", F.col("k").cast("string"))), lambda: [tx.clean_text(n).alias("name"), tx.clean_text(a).alias("addr")]),
-        "tx9_digits": _text(_e2, lambda: [tx.digits(a).alias("value")]),
-        "tx10_country": _text(_e2, lambda: [tx.country(F.concat(F.lit(" "), c)).alias("value")]),
-        "tx11_simple_clean": _text(_e1, lambda: [tx.simple_clean(n).alias("value")]),
+        "tx1_remove_accents": _text(_e1, lambda: [tx.remove_accents(n()).alias("value")]),
+        "tx2_lower": _text(_e1, lambda: [F.lower(tx.remove_accents(n())).alias("value")]),
+        "tx3_strip_urls": _text(_e2, lambda: [tx.strip_urls(F.lower(n())).alias("value")]),
+        "tx4_strip_legal": _text(_e2, lambda: [tx.strip_legal(F.lower(n())).alias("value")]),
+        "tx5_strip_symbols": _text(_e2, lambda: [tx.strip_symbols(F.lower(a())).alias("value")]),
+        "tx6_drop_repeats": _text(_e1, lambda: [tx.drop_repeats(tx.strip_symbols(F.lower(tx.remove_accents(a())))).alias("value")]),
+        "tx7_clean_text": _text(lambda s, d: _e1(s, d).unionByName(_e2(s, d).withColumn("k", F.col("k").cast("string"))), lambda: [tx.clean_text(n()).alias("name"), tx.clean_text(a()).alias("addr")]),
+        "tx9_digits": _text(_e2, lambda: [tx.digits(a()).alias("value")]),
+        "tx10_country": _text(_e2, lambda: [tx.country(F.concat(F.lit(" "), c())).alias("value")]),
+        "tx11_simple_clean": _text(_e1, lambda: [tx.simple_clean(n()).alias("value")]),
         # extraction
         "ex1_tokens": _prep_text(_e1, lambda: [_joined(ex.tokens(pc("name_c"), pc("addr_c"))).alias("value")]),
-        "ex2_house_numbers": _text(_e2, lambda: [_joined(ex.house_numbers(F.concat(a, F.lit("-"), a))).alias("value")]),
-        "ex3_postal_code": _text(_e2, lambda: [ex.postal_code(a, c).alias("value"), ex.postal_code(a, F.lit("")).alias("unknown")]),
+        "ex2_house_numbers": _text(_e2, lambda: [_joined(ex.house_numbers(F.concat(a(), F.lit("-"), a()))).alias("value")]),
+        "ex3_postal_code": _text(_e2, lambda: [ex.postal_code(a(), c()).alias("value"), ex.postal_code(a(), F.lit("")).alias("unknown")]),
         "ex4_domain": _prep_text(_e2, lambda: [ex.domain(pc("name_c"), pc("addr_c")).alias("value")]),
         "ex5_acronym_match": _pair_query(lambda: ex.acronym_match(pc("s_name_c"), pc("c_name_c"))),
         "ex6_char_ngrams": _prep_text(_e2, lambda: [_joined(ex.char_ngrams(pc("name_c"))).alias("value")]),
-        "ex7_simple_grams": _text(_e2, lambda: [_joined(ex.simple_grams(n)).alias("value")]),
-        "ex8_first_house": _text(_e2, lambda: [ex.first_house(a).alias("value")]),
-        "ex9_blocking_keys": _text(_e2, lambda: [F.array_join(ex.blocking_keys(n, a, c), "|").alias("value")]),
+        "ex7_simple_grams": _text(_e2, lambda: [_joined(ex.simple_grams(n())).alias("value")]),
+        "ex8_first_house": _text(_e2, lambda: [ex.first_house(a()).alias("value")]),
+        "ex9_blocking_keys": _text(_e2, lambda: [F.array_join(ex.blocking_keys(n(), a(), c()), "|").alias("value")]),
         "ex10_first_last_word": _prep_text(_e1, lambda: [ex.first_word(tx.words(pc("name_c"))).alias("first"), ex.last_word(tx.words(pc("name_c"))).alias("last")]),
         "ex11_longest_two": _prep_text(_e1, lambda: [F.array_join(ex.longest_two(tx.words(pc("addr_c"))), "|").alias("value")]),
         "ex12_profile": lambda s, d: features.profile(blocking.prepare(_e2(s, d))).select("id", "name_c", "addr_c", F.size("nt").alias("nt"), F.size("ng").alias("ng"), F.size("ag").alias("ag"), "fw", "lw", F.array_join("house", "|").alias("house"), "land", "postal", "dom"),

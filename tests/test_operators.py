@@ -135,3 +135,12 @@ def test_against_sql(spark, name):
 
 def test_every_query_is_known():
     assert set(oracle.oracle_sql()) <= set(queries.queries())
+
+
+def test_queries_are_listed_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1], check=True)
