@@ -12,7 +12,7 @@ from linkwright.operators.blocking import key_candidates
 
 def profiles(entities: DataFrame) -> DataFrame:
     name, addr = F.coalesce("name", F.lit("")), F.coalesce("addr", F.lit(""))
-    return entities.select("id", ex.simple_grams(name).alias("ng"), ex.simple_grams(F.concat_ws(" ", name, addr)).alias("ag"), ex.first_house(addr).alias("house"))
+    return entities.select("id", ex.simple_gram_codes(name).alias("ng"), ex.simple_gram_codes(F.concat_ws(" ", name, addr)).alias("ag"), ex.first_house(addr).alias("house"))
 
 
 def scored_pairs(refs: DataFrame, records: DataFrame, k: int = 150) -> DataFrame:
