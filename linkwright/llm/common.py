@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """(_key, _row): each row as a struct with a key that every later scan gives it again, on any number of executors.
+
+    The key is the row's place in its Parquet file. What isn't a plain scan of files is numbered in a checkpoint.
+    Numbers that Spark counts by partition wouldn't do alone: small inputs are split by the cores present.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.select(F.concat_ws("#", place["file_path"], place["row_index"].cast("string")).alias("_key"), whole)
+    except AnalysisException:
+        return checkpoint(docs.select(F.monotonically_increasing_id().cast("string").alias("_key"), whole))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkwright.llm.common import documents
+from linkwright.llm.common import documents, keyed_rows
 
 #: Code points between the starts of two parts of one credential.
 SCOPE = 300
@@ -76,9 +76,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     A column ``n_chars`` follows the new text where it changed. Every row stays.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    found = spans(rows.select(F.col("_rid").alias("_key"), "_row.text"), ["_key"]).where(F.size("found") > 0)
-    rows = rows.join(found, rows["_rid"] == found["_key"], "left")
+    rows = keyed_rows(docs)
+    found = spans(rows.select("_key", "_row.text"), ["_key"]).where(F.size("found") > 0)
+    rows = rows.join(found, "_key", "left")
     text = F.col("_row.text")
     piece = lambda a, b: F.substring(text, a + 1, b - a)
 

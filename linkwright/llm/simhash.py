@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import checkpoint, documents
+from linkwright.llm.common import checkpoint, documents, keyed_rows
 from linkwright.llm.graph import components
 
 BITS = 64
@@ -138,13 +138,19 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _forest(fps: np.ndarray, own: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def _agree(sigs: np.ndarray | None, at, other) -> np.ndarray | bool:
+    """Whether signatures differ in few enough bits; True where there are none."""
+    return True if sigs is None else np.bitwise_count(sigs[at] ^ sigs[other]) <= SIGNATURE_RADIUS
+
+
+def _forest(fps: np.ndarray, own: np.ndarray, radius: int, ids: np.ndarray | None = None, sigs: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Edges that join what links of at most ``radius`` bits between an owner and any other join in one bucket.
 
     Owners are compared with owners not reached yet and with all others; of links inside what is joined already,
     none is given.
     """
     bits = fps.view(np.uint64)  # counts of signed numbers are those of their absolute value
+    ids = fps if ids is None else ids
     todo, others = np.flatnonzero(own), np.flatnonzero(~own)
     group = np.full(len(fps), -1)
     edges, k = [], 0
@@ -152,15 +158,15 @@ def _forest(fps: np.ndarray, own: np.ndarray, radius: int) -> list[tuple[int, in
         queue, todo, k = [int(todo[0])], todo[1:], k + 1
         while queue:
             i = queue.pop()
-            near = np.bitwise_count(bits[todo] ^ bits[i]) <= radius
+            near = (np.bitwise_count(bits[todo] ^ bits[i]) <= radius) & _agree(sigs, todo, i)
             if near.any():
                 hit = todo[near]
-                edges += [(fps[i], fps[j]) for j in hit]
+                edges += [(ids[i], ids[j]) for j in hit]
                 queue += hit.tolist()
                 todo = todo[~near]
-            for j in others[(np.bitwise_count(bits[others] ^ bits[i]) <= radius) & (group[others] != k)].tolist():
+            for j in others[(np.bitwise_count(bits[others] ^ bits[i]) <= radius) & _agree(sigs, others, i) & (group[others] != k)].tolist():
                 if group[j] != k:
-                    edges.append((fps[i], fps[j]))
+                    edges.append((ids[i], ids[j]))
                     if group[j] >= 0:
                         group[group == group[j]] = k
                     group[j] = k
@@ -173,12 +179,14 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
     Each fingerprint owns one key in each group of bits and probes the keys within the group's threshold. Buckets
     stream through sorted tasks; a bucket gives links, or for more than 32 members a spanning forest of its links.
     Buckets of over ``block`` owners are dealt over pairs of blocks, so no task holds more than two blocks' rows
-    of one, and nothing is left out.
+    of one, and nothing is left out. With columns ``id`` (long) and ``sig`` in ``nodes``, edges are between ids, and
+    signatures must agree too, so that chance links don't stand for true ones in a forest.
     """
+    extra = [c for c in ("id", "sig") if c in nodes.columns]
     if probe_plan is None:
         n, both = bit_statistics(nodes)
         if n < 2:
-            return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
+            return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
         probe_plan = plan(n, both, radius, most_parts)
     spark = nodes.sparkSession
     probes = spark.createDataFrame([(g, _signed(m), _signed(f)) for g, (m, flips) in enumerate(probe_plan) for f in flips], "g int, m long, f long")
@@ -186,12 +194,12 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
     owned = nodes.select("fp", F.explode(owners).alias("x")).groupBy(F.col("x.g").alias("g"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key")).count()
     hot = checkpoint(owned.where(F.col("count") > block).select("g", "key", F.ceil(F.col("count") / block).cast("int").alias("s")))
     flips = F.array(*[F.struct(F.lit(r.g).alias("g"), F.lit(r.m).alias("m"), F.lit(r.f).alias("f")) for r in probes.collect()])
-    rows = nodes.select("fp", F.explode(flips).alias("x")).select("fp", "x.g", F.col("fp").bitwiseAND(F.col("x.m")).bitwiseXOR(F.col("x.f")).alias("key"), (F.col("x.f") == 0).alias("own"))
+    rows = nodes.select("fp", *extra, F.explode(flips).alias("x")).select("fp", *extra, "x.g", F.col("fp").bitwiseAND(F.col("x.m")).bitwiseXOR(F.col("x.f")).alias("key"), (F.col("x.f") == 0).alias("own"))
     rows = rows.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, ["g", "key"], "left")
     mine, other = F.pmod(F.xxhash64("fp"), F.col("s")), F.col("o")
-    rows = rows.select("g", "key", "fp", "own", "s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("s"), F.lit(1)) - 1)).alias("o"))
+    rows = rows.select("g", "key", "fp", *extra, "own", "s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("s"), F.lit(1)) - 1)).alias("o"))
     salt = F.when(F.col("s").isNull(), F.lit(0).cast("long")).otherwise(F.least(mine, other) * F.col("s") + F.greatest(mine, other))
-    rows = rows.select("g", "key", salt.alias("salt"), "fp", "own")
+    rows = rows.select("g", "key", salt.alias("salt"), "fp", *extra, "own")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(parts, "g", "key", "salt").sortWithinPartitions("g", "key", "salt")
 
@@ -211,11 +219,12 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
     def found(pdf, starts, n):
         fps, own = pdf["fp"].to_numpy(np.int64), pdf["own"].to_numpy(bool)
         bits = fps.view(np.uint64)
+        ids, sigs = (pdf["id"].to_numpy(np.int64), pdf["sig"].to_numpy(np.int64).view(np.uint64)) if extra else (fps, None)
         ends = np.r_[starts[1:], n]
         size = ends - starts
         edges = [np.empty((0, 2), np.int64)]
         for s, e in zip(starts[size > 32].tolist(), ends[size > 32].tolist(), strict=True):
-            if len(f := _forest(fps[s:e], own[s:e], radius)):
+            if len(f := _forest(fps[s:e], own[s:e], radius, ids[s:e], None if sigs is None else sigs[s:e])):
                 edges.append(np.array(f, dtype=np.int64))
         end = np.repeat(ends, size)
         idx = np.flatnonzero(np.repeat(size <= 32, size) & (np.repeat(size, size) > 1))
@@ -223,9 +232,9 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
             idx = idx[idx + d < end[idx]]
             if not len(idx):
                 break
-            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(bits[idx] ^ bits[idx + d]) <= radius)]
+            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(bits[idx] ^ bits[idx + d]) <= radius) & _agree(sigs, idx, idx + d)]
             if len(ok):
-                edges.append(np.column_stack([fps[ok], fps[ok + d]]))
+                edges.append(np.column_stack([ids[ok], ids[ok + d]]))
         e = np.concatenate(edges)
         e = np.unique(np.sort(e[e[:, 0] != e[:, 1]], axis=1), axis=0)
         return pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
@@ -248,58 +257,79 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None
     return prints.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-#: The filter's own parameters: five words, links to 8 bits, and removal at an estimated similarity of 0.8 or more.
-FILTER_WORDS, FILTER_RADIUS, FILTER_PARTS, FILTER_SIMILARITY = 5, 8, 4, 0.8
+#: The filter's own parameters: similarity of five-word shingles of 0.8 or more. Candidates are found by fingerprints
+#: of two-word shingles within 8 bits: one changed word touches two of those instead of five, so that copies at 0.8
+#: lie about 5 bits apart instead of 9.
+FILTER_WORDS, FILTER_SIMILARITY = 5, 0.8
+CANDIDATE_WORDS, FILTER_RADIUS, FILTER_PARTS = 2, 8, 4
 SKETCH = 256
+#: Bits in which signatures of 64 bits may differ: about 6 do at a similarity of 0.8, about 32 by chance.
+SIGNATURE_RADIUS = 16
 
 
-def sketch(text: str | None, words: int = FILTER_WORDS) -> bytes:
-    """One-permutation MinHash of the distinct shingles: for each of 256 bins the 16 high bits of its least hash, or zeros."""
+def sketch(text: str | None, words: int = FILTER_WORDS) -> tuple[bytes, int]:
+    """One-permutation MinHash of the distinct shingles: for each of 256 bins the 16 high bits of its least hash, or
+    zeros; and a signature of 64 bits, one of the least hash of each of 64 bins (0 where empty). No word: nothing, 0."""
     import xxhash
 
     w = (text or "").encode().lower().split()
     if not w:
-        return b""
+        return b"", 0
     h = np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), 7) for i in range(max(1, len(w) - words + 1))], dtype=np.uint64)
-    least = np.full(SKETCH, np.uint64(0xFFFFFFFFFFFFFFFF))
+    none = np.uint64(0xFFFFFFFFFFFFFFFF)
+    least = np.full(SKETCH, none)
     np.minimum.at(least, (h % np.uint64(SKETCH)).astype(np.intp), h)
-    return np.where(least == np.uint64(0xFFFFFFFFFFFFFFFF), 0, (least >> np.uint64(8)) & np.uint64(0xFFFF) | np.uint64(1)).astype("<u2").tobytes()
+    few = least.reshape(-1, BITS).min(axis=0)
+    sig = np.packbits((few != none) & ((few >> np.uint64(20)) & np.uint64(1) == 1)).view(">i8")[0]
+    return np.where(least == none, 0, (least >> np.uint64(8)) & np.uint64(0xFFFF) | np.uint64(1)).astype("<u2").tobytes(), int(sig)
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` without rows that repeat the first row of their SimHash component with an estimated shingle similarity of 0.8 or more.
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether two sketches estimate a similarity of 0.8 or more; texts without words are like each other only."""
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
+    used = (x > 0) | (y > 0)
+    return np.count_nonzero((x == y) & used) >= FILTER_SIMILARITY * np.count_nonzero(used)
 
-    Links reach further (8 bits) than two texts at 0.8 tend to lie apart, so chains and chance links occur; therefore
-    only what the sketches find similar to the row that stays goes. Rows are told apart by position, so repeated
-    rows and null ids are fine. Empty and null texts are copies of each other.
-    """
-    rows = docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+def _verified(pairs: DataFrame) -> DataFrame:
+    """(a, b) of those rows (a, b, x, y) whose sketches x and y are similar."""
 
     def run(batches):
         for pdf in batches:
-            fp = np.array([fingerprint(t, FILTER_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["_rid"], "fp": fp, "sketch": [sketch(t) for t in pdf["text"]]})
+            yield pdf.loc[[similar(x, y) for x, y in zip(pdf["x"], pdf["y"], strict=True)], ["a", "b"]]
+
+    return pairs.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
-    prints = checkpoint(rows.select("_rid", "_row.text").mapInPandas(run, "doc_id long, fp long, sketch binary"))
-    groups = near_groups(prints.select("doc_id", "fp"), FILTER_RADIUS, FILTER_PARTS)
-    pairs = groups.where("doc_id != component_id").select("doc_id", "component_id")
-    pairs = pairs.join(prints.select("doc_id", F.col("sketch").alias("mine")), "doc_id")
-    pairs = pairs.join(prints.select(F.col("doc_id").alias("component_id"), F.col("sketch").alias("first")), "component_id")
 
-    def similar(batches):
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the first.
+
+    Rows of equal fingerprint and signature are compared with the first of them, and these firsts with one another
+    where they link; groups are the components of links at an estimated shingle similarity of 0.8 or more, each
+    verified before it joins anything. Rows are told apart by place, so repeated rows and null ids are fine. Empty and
+    null texts are copies of each other.
+    """
+    rows = keyed_rows(docs)
+
+    def run(batches):
         for pdf in batches:
-            ok = []
-            for a, b in zip(pdf["mine"], pdf["first"], strict=True):
-                if not len(a) or not len(b):
-                    ok.append(len(a) == len(b))
-                    continue
-                x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
-                used = (x > 0) | (y > 0)
-                ok.append(np.count_nonzero((x == y) & used) >= FILTER_SIMILARITY * np.count_nonzero(used))
-            yield pd.DataFrame({"_rid": pdf["doc_id"][np.array(ok, dtype=bool)]})
-
-    gone = checkpoint(pairs.select("doc_id", "mine", "first").mapInPandas(similar, "_rid long"))
-    return rows.join(gone, "_rid", "left_anti").select("_row.*")
+            fp = np.array([fingerprint(t, CANDIDATE_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
+            found = [sketch(t) for t in pdf["text"]]
+            yield pd.DataFrame({"rid": pdf["rid"], "_key": pdf["_key"], "fp": fp, "sig": np.array([s for _, s in found], np.int64), "sketch": [x for x, _ in found]})
+
+    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "_key", "_row.text")
+    prints = checkpoint(numbered.mapInPandas(run, "rid long, _key string, fp long, sig long, sketch binary"))
+    nodes = checkpoint(prints.groupBy("fp", "sig").agg(F.min("rid").alias("id")))
+    first = nodes.join(prints.select(F.col("rid").alias("id"), F.col("sketch").alias("y")), "id")
+    copies = prints.join(first, ["fp", "sig"]).where("rid != id").select(F.col("rid").alias("a"), F.col("id").alias("b"), F.col("sketch").alias("x"), "y")
+    edges = link(nodes, FILTER_RADIUS, most_parts=FILTER_PARTS)
+    ends = [prints.select(F.col("rid").alias(n), F.col("sketch").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
+    groups = components(_verified(edges.join(ends[0], "a").join(ends[1], "b")))
+    gone = _verified(copies).select(F.col("a").alias("rid")).union(groups.where("node != root").select("node"))
+    gone = checkpoint(prints.select("rid", "_key").join(gone, "rid", "left_semi").select("_key"))
+    return rows.join(gone, "_key", "left_anti").select("_row.*")
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

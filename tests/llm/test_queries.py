@@ -249,3 +249,64 @@ def test_redaction_joins_overlaps(spark):
     df = spark.createDataFrame([("token=0123456789abcdef01234567 end",), (None,), ("",)], "text string")
     assert [r["text"] for r in secrets.redact(df).collect()] == ["[SECRET] end", None, ""]
     assert secrets.redact(df).where(F.col("text").isNull()).count() == 1
+
+
+def _shingle_sets(texts):
+    out = []
+    for t in texts:
+        w = (t or "").lower().split()
+        out.append({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    return out
+
+
+def test_near_duplicate_filter_keeps_one_of_each_group(spark, tmp_path):
+    """Copies, a chain of edits, empty texts and nulls against groups by exact similarity; other columns stay."""
+    import random
+
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    base = [" ".join(rng.choice(words) for _ in range(120)) for _ in range(12)]
+    chain = [base[0]]
+    for _ in range(4):
+        w = chain[-1].split()
+        w[rng.randrange(20, 100)] = "changed"
+        chain.append(" ".join(w))
+    texts = [*base, *chain, base[1], base[1].upper(), "", None, None, "one", "one", "two words"]
+    rows = [(i % 30, t, "x", f"k{i}", i) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row string, _key string, rid long")
+    sets = _shingle_sets(texts)
+    group = list(range(len(texts)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            union = sets[i] | sets[j]
+            if not union or len(sets[i] & sets[j]) >= 0.8 * len(union):
+                group[max(root(i), root(j))] = min(root(i), root(j))
+    for source in (df, None):
+        if source is None:
+            df.repartition(3).write.parquet(str(tmp_path / "docs"))
+            source = spark.read.parquet(str(tmp_path / "docs"))
+        kept = simhash.drop_near_duplicates(source)
+        assert kept.columns == df.columns
+        ids = [r["rid"] for r in kept.collect()]
+        assert sorted(root(i) for i in ids) == sorted({root(i) for i in range(len(texts))})
+    assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_row_keys_dont_depend_on_splits(spark, tmp_path):
+    from linkwright.llm.common import keyed_rows
+
+    spark.range(5000).selectExpr("id", "repeat('x', 50) AS text").repartition(2).write.parquet(str(tmp_path / "docs"))
+    old, seen = spark.conf.get("spark.sql.files.maxPartitionBytes"), []
+    try:
+        for size in (old, "4k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            seen.append({(r[0], r[1]) for r in keyed_rows(spark.read.parquet(str(tmp_path / "docs"))).select("_key", "_row.id").collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert seen[0] == seen[1] and len({k for k, _ in seen[0]}) == 5000
