@@ -17,7 +17,7 @@ def two_pass_shuffle(records: DataFrame, size_col: str, shards: int, seed: int =
     Pass 1 scatters rows by a seeded hash of their position in the input, so that repeated rows, null keys or a hot
     key scatter like any other; pass 2 permutes each bucket with Spark's ``shuffle`` (Fisher-Yates). Row i of the
     order gets shard i mod ``shards`` and slot i div ``shards``: counts are at most one apart and slots gapless.
-    The same input files, seed and bucket size give the same order. An empty input gives no rows; columns called
+    The order is one draw: another split of the input or of the buckets over tasks gives another. An empty input gives no rows; columns called
     like the helpers here don't clash, as a row travels as one struct; ``shard`` and ``slot`` in the input are replaced.
     """
     spark = records.sparkSession
