@@ -201,7 +201,8 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
     salt = F.when(F.col("s").isNull(), F.lit(0).cast("long")).otherwise(F.least(mine, other) * F.col("s") + F.greatest(mine, other))
     rows = rows.select("g", "key", salt.alias("salt"), "fp", *extra, "own")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(parts, "g", "key", "salt").sortWithinPartitions("g", "key", "salt")
+    # sorted to the last column: a task run again after a loss must give the same forest, as others may hold half of it
+    rows = rows.repartition(parts, "g", "key", "salt").sortWithinPartitions("g", "key", "salt", "fp", *extra[::-1])
 
     def run(batches):
         held = None
@@ -304,12 +305,12 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the first.
+    """``docs`` with one row of each group of near copies: that of the smallest doc_id (null last, then the first row).
 
-    Rows of equal fingerprint and signature are compared with the first of them, and these firsts with one another
-    where they link; groups are the components of links at an estimated shingle similarity of 0.8 or more, each
-    verified before it joins anything. Rows are told apart by place, so repeated rows and null ids are fine. Empty and
-    null texts are copies of each other.
+    Rows of equal fingerprint and signature are compared with the first of them; that first and the rows unlike it are
+    compared with one another where they link. Groups are the components of links at an estimated shingle similarity of
+    0.8 or more, each verified before it joins anything. Rows are told apart by place, so repeated rows and null ids are
+    fine. Empty and null texts are copies of each other.
     """
     rows = keyed_rows(docs)
 
@@ -317,17 +318,28 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         for pdf in batches:
             fp = np.array([fingerprint(t, CANDIDATE_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
             found = [sketch(t) for t in pdf["text"]]
-            yield pd.DataFrame({"rid": pdf["rid"], "_key": pdf["_key"], "fp": fp, "sig": np.array([s for _, s in found], np.int64), "sketch": [x for x, _ in found]})
+            sig, sketches = np.array([s for _, s in found], np.int64), [x for x, _ in found]
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "fp": fp, "sig": sig, "sketch": sketches})
 
-    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), "_key", "_row.text")
-    prints = checkpoint(numbered.mapInPandas(run, "rid long, _key string, fp long, sig long, sketch binary"))
-    nodes = checkpoint(prints.groupBy("fp", "sig").agg(F.min("rid").alias("id")))
-    first = nodes.join(prints.select(F.col("rid").alias("id"), F.col("sketch").alias("y")), "id")
+    numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("_row.doc_id").cast("long").alias("doc_id"), "_key", "_row.text")
+    prints = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, fp long, sig long, sketch binary"))
+
+    def least(row: str):
+        return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")))["row"]
+
+    firsts = checkpoint(prints.groupBy("fp", "sig").agg(least("rid").alias("id")))
+    first = firsts.join(prints.select(F.col("rid").alias("id"), F.col("sketch").alias("y")), "id")
     copies = prints.join(first, ["fp", "sig"]).where("rid != id").select(F.col("rid").alias("a"), F.col("id").alias("b"), F.col("sketch").alias("x"), "y")
+    same = checkpoint(_verified(copies).select(F.col("a").alias("rid")))
+    own = firsts.select(F.col("id").alias("rid"))
+    unlike = prints.join(own.union(same), "rid", "left_anti").select("fp", "sig", F.col("rid").alias("id"))
+    nodes = checkpoint(firsts.union(unlike))
     edges = link(nodes, FILTER_RADIUS, most_parts=FILTER_PARTS)
     ends = [prints.select(F.col("rid").alias(n), F.col("sketch").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
     groups = components(_verified(edges.join(ends[0], "a").join(ends[1], "b")))
-    gone = _verified(copies).select(F.col("a").alias("rid")).union(groups.where("node != root").select("node"))
+    groups = checkpoint(groups.join(prints.select(F.col("rid").alias("node"), "doc_id"), "node"))
+    kept = groups.groupBy("root").agg(least("node").alias("kept"))
+    gone = same.union(groups.join(kept, "root").where("node != kept").select("node"))
     gone = checkpoint(prints.select("rid", "_key").join(gone, "rid", "left_semi").select("_key"))
     return rows.join(gone, "_key", "left_anti").select("_row.*")
 
