@@ -298,6 +298,14 @@ def test_near_duplicate_filter_keeps_one_of_each_group(spark, tmp_path):
     assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicate_filter_doesnt_depend_on_order(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, words if i % 2 else f"{words} end{i}") for i in range(3, 45)] + [(None, words), (50, "alone")]
+    for order in (rows, rows[::-1]):
+        kept = simhash.drop_near_duplicates(spark.createDataFrame(order, "doc_id long, text string"))
+        assert {r["doc_id"] for r in kept.collect()} == {3, 50}
+
+
 def test_row_keys_dont_depend_on_splits(spark, tmp_path):
     from linkwright.llm.common import keyed_rows
 
