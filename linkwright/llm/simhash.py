@@ -258,85 +258,241 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None
     return prints.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-#: The filter's own parameters: similarity of five-word shingles of 0.8 or more. Candidates are found by fingerprints
-#: of two-word shingles within 8 bits: one changed word touches two of those instead of five, so that copies at 0.8
-#: lie about 5 bits apart instead of 9.
-FILTER_WORDS, FILTER_SIMILARITY = 5, 0.8
-CANDIDATE_WORDS, FILTER_RADIUS, FILTER_PARTS = 2, 8, 4
-SKETCH = 256
 #: Bits in which signatures of 64 bits may differ: about 6 do at a similarity of 0.8, about 32 by chance.
 SIGNATURE_RADIUS = 16
 
+#: Near copies are texts whose sets of five-word shingles have a Jaccard similarity of at least 4/5.
+FILTER_WORDS = 5
+#: Buckets of up to this many sets give pairs; larger ones are joined inside a task that holds the sets.
+SMALL = 32
+#: Shingles in the sets of one block of a large bucket; a task holds two blocks.
+BLOCK_SHINGLES = 4_000_000
+#: Texts whose shingles are counted for the order, and how many of the most frequent shingles the order knows.
+SAMPLE, FREQUENT = 20_000, 100_000
+#: Ids up to this number go to the executors by broadcast; more are joined.
+BROADCAST_IDS = 500_000
 
-def sketch(text: str | None, words: int = FILTER_WORDS) -> tuple[bytes, int]:
-    """One-permutation MinHash of the distinct shingles: for each of 256 bins the 16 high bits of its least hash, or
-    zeros; and a signature of 64 bits, one of the least hash of each of 64 bins (0 where empty). No word: nothing, 0."""
+
+def shingles(text: str | None, words: int = FILTER_WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; a text of fewer words is one shingle, no word gives none."""
     import xxhash
 
     w = (text or "").encode().lower().split()
     if not w:
-        return b"", 0
-    h = np.array([xxhash.xxh64_intdigest(b" ".join(w[i : i + words]), 7) for i in range(max(1, len(w) - words + 1))], dtype=np.uint64)
-    none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    least = np.full(SKETCH, none)
-    np.minimum.at(least, (h % np.uint64(SKETCH)).astype(np.intp), h)
-    few = least.reshape(-1, BITS).min(axis=0)
-    sig = np.packbits((few != none) & ((few >> np.uint64(20)) & np.uint64(1) == 1)).view(">i8")[0]
-    return np.where(least == none, 0, (least >> np.uint64(8)) & np.uint64(0xFFFF) | np.uint64(1)).astype("<u2").tobytes(), int(sig)
+        return np.empty(0, np.int64)
+    joined, h = b" ".join(w), xxhash.xxh64_intdigest
+    ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) - 1
+    starts = np.r_[0, ends[:-1] + 1][: max(1, len(w) - words + 1)].tolist()
+    ends = ends[min(words, len(w)) - 1 :].tolist()
+    return np.unique(np.array([h(joined[s:e], 7) for s, e in zip(starts, ends, strict=True)], dtype=np.uint64).view(np.int64))
+
 
+def similar(common, a, b):
+    """Whether sets of ``a`` and ``b`` shingles with ``common`` in both have a Jaccard similarity of 4/5 or more."""
+    return 9 * common >= 4 * (a + b)
 
-def similar(a: bytes, b: bytes) -> bool:
-    """Whether two sketches estimate a similarity of 0.8 or more; texts without words are like each other only."""
-    if not len(a) or not len(b):
-        return len(a) == len(b)
-    x, y = np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2")
-    used = (x > 0) | (y > 0)
-    return np.count_nonzero((x == y) & used) >= FILTER_SIMILARITY * np.count_nonzero(used)
 
+def _sets(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<i8") for x in column]
 
-def _verified(pairs: DataFrame) -> DataFrame:
-    """(a, b) of those rows (a, b, x, y) whose sketches x and y are similar."""
+
+def frequent_shingles(nodes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles of a sample of ``nodes``, sorted, and their counts. They decide an order, no result."""
 
     def run(batches):
         for pdf in batches:
-            yield pdf.loc[[similar(x, y) for x, y in zip(pdf["x"], pdf["y"], strict=True)], ["a", "b"]]
+            yield pd.DataFrame({"key": np.concatenate([np.empty(0, np.int64), *_sets(pdf["set"])])})
+
+    few = nodes.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // SAMPLE))) == 0).select("set")
+    top = few.mapInPandas(run, "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(FREQUENT).collect()
+    top = np.array(sorted((r[0], r[1]) for r in top), dtype=np.int64).reshape(-1, 2)
+    return top[:, 0], top[:, 1]
+
+
+def prefix(keys: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first n - ceil(4n/5) + 1 shingles in an order common to all sets (frequent ones last).
+
+    Sets that are similar share at least ceil(4n/5) shingles, hence one of these: no similar pair is missed.
+    """
+    n = len(keys)
+    if len(frequent) and n:
+        at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
+        keys = keys[np.lexsort((keys, np.where(frequent[at] == keys, counts[at], 0)))]
+    return keys[: n - (4 * n + 4) // 5 + 1] if n else keys
+
+
+def _bucketed(batches, keys, found):
+    """Calls ``found`` with whole buckets of a stream sorted by ``keys``: the frame and the buckets' starts and ends."""
+    held = None
+    for pdf in batches:
+        held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        k = held[keys].to_numpy(np.int64)
+        new = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        if len(new):
+            cut = int(new[-1])
+            yield found(held.iloc[:cut], np.r_[0, new[:-1]], new)
+            held = held.iloc[cut:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield found(held, np.array([0]), np.array([len(held)]))
+
+
+def candidates(nodes: DataFrame, n: int) -> DataFrame:
+    """(a, b, key, size) of ``nodes`` (id, set): pairs a < b that may be similar, or members a (b null) of a large bucket.
+
+    A bucket holds the sets with one shingle in their prefix. Of the shared shingles, one is the first in both orders;
+    what is left of both sets from it on bounds the number shared.
+    """
+    frequent, counts = frequent_shingles(nodes, n)
+
+    def spread(batches):
+        for pdf in batches:
+            sets = _sets(pdf["set"])
+            heads = [prefix(x, frequent, counts) for x in sets]
+            many = np.array([len(x) for x in heads])
+            size = np.repeat(np.array([len(x) for x in sets]), many)
+            place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            yield pd.DataFrame({"key": np.concatenate([np.empty(0, np.int64), *heads]), "id": np.repeat(pdf["id"].to_numpy(np.int64), many), "size": size.astype(np.int32), "left": (size - place).astype(np.int32)})
+
+    def found(pdf, starts, ends):
+        key, ids, size, left = (pdf[c].to_numpy(np.int64) for c in ("key", "id", "size", "left"))
+        many = ends - starts
+        end = np.repeat(ends, many)
+        idx = np.flatnonzero(np.repeat((many > 1) & (many <= SMALL), many))
+        pairs = [np.empty((0, 2), np.int64)]
+        for d in range(1, SMALL):
+            idx = idx[idx + d < end[idx]]
+            if not len(idx):
+                break
+            ok = idx[similar(np.minimum(left[idx], left[idx + d]), size[idx], size[idx + d])]
+            pairs.append(np.column_stack([ids[ok], ids[ok + d]]))
+        pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
+        large = np.flatnonzero(np.repeat(many > SMALL, many))
+        return pd.concat(
+            [
+                pd.DataFrame({"a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64"), "key": pd.array([None] * len(pairs), "Int64"), "size": 0}),
+                pd.DataFrame({"a": ids[large], "b": pd.array([None] * len(large), "Int64"), "key": pd.array(key[large], "Int64"), "size": size[large]}),
+            ]
+        )
 
-    return pairs.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.mapInPandas(spread, "key long, id long, size int, left int").repartition(parts, "key").sortWithinPartitions("key", "id")
+    return rows.mapInPandas(lambda batches: _bucketed(batches, ["key"], found), "a long, b long, key long, size long")
+
+
+def _needed(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``nodes`` with one of ``ids``, so that no other set is shuffled."""
+    ids = checkpoint(ids.distinct())
+    return nodes.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+
+
+def similar_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar, by all their shingles."""
+    sets = _needed(nodes, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
+    ends = [sets.select(F.col("id").alias(n), F.col("set").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
+
+    def run(batches):
+        for pdf in batches:
+            ok = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(_sets(pdf["x"]), _sets(pdf["y"]), strict=True)]
+            yield pdf.loc[ok, ["a", "b"]]
+
+    return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+
+
+def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Similar pairs that join all that any similar pairs of one bucket join; each was compared by all its shingles.
+
+    Only pairs not joined yet (by ``roots`` or an edge given before) are compared.
+    """
+    size = np.array([len(x) for x in sets])
+    starts = np.cumsum(size) - size
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    group, edges = np.unique(roots, return_inverse=True)[1], []
+    mark = np.zeros(len(values), bool)
+    for i in range(len(sets)):
+        other = np.flatnonzero((group[i + 1 :] != group[i]) & similar(np.minimum(size[i], size[i + 1 :]), size[i], size[i + 1 :])) + i + 1
+        if not len(other):
+            continue
+        own = flat[starts[i] : starts[i] + size[i]]
+        mark[own] = True
+        if len(other) > 8:
+            common = np.add.reduceat(mark[flat], starts, dtype=np.int64)[other]
+        else:
+            common = np.array([np.count_nonzero(mark[flat[starts[j] : starts[j] + size[j]]]) for j in other.tolist()])
+        mark[own] = False
+        hit = other[similar(common, size[i], size[other])]
+        edges += [(ids[i], ids[j]) for j in hit]
+        group[np.isin(group, group[hit])] = group[i]
+    return edges
+
+
+def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Edges of each bucket's ``forest``. ``members``: (key, id, size, root). Large buckets are dealt over pairs of blocks."""
+    split = members.groupBy("key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("s"))
+    mine, other, s = F.pmod(F.xxhash64("id"), F.col("s")), F.col("o"), F.col("s")
+    rows = members.join(split, "key").withColumn("o", F.explode(F.sequence(F.lit(0), s - 1)))
+    rows = rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "root")
+    rows = rows.join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "set")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def found(pdf, starts, ends):
+        ids, roots, sets = pdf["id"].to_numpy(np.int64), pdf["root"].to_numpy(np.int64), _sets(pdf["set"])
+        e = [x for s, e in zip(starts.tolist(), ends.tolist(), strict=True) for x in forest(ids[s:e], roots[s:e], sets[s:e])]
+        e = np.array(e, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
+
+    rows = rows.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "id")
+    return rows.mapInPandas(lambda batches: _bucketed(batches, ["key", "salt"], found), "a long, b long")
+
+
+def similar_links(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) between similar sets of ``nodes`` (id, set); their closure is that of all similar pairs.
+
+    Large buckets are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
+    still hold sets of several groups.
+    """
+    found = checkpoint(candidates(nodes, nodes.count()))
+    edges = checkpoint(similar_pairs(nodes, checkpoint(found.where("b IS NOT NULL").select("a", "b").distinct())))
+    members = found.where("b IS NULL").select("key", F.col("a").alias("id"), "size")
+    if members.isEmpty():
+        return edges
+    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    home = members.join(many, "key").groupBy("id").agg(F.max(F.struct("n", "key"))["key"].alias("key"), F.first("size").alias("size"))
+    edges = checkpoint(edges.union(_joined(nodes, checkpoint(home.select("key", "id", "size", F.col("id").alias("root"))))))
+    rooted = members.join(components(edges), F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
+    rooted = checkpoint(rooted)
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
+    return checkpoint(edges.union(_joined(nodes, checkpoint(rooted.join(mixed, "key")))))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest doc_id (null last, then the first row).
 
-    Rows of equal fingerprint and signature are compared with the first of them; that first and the rows unlike it are
-    compared with one another where they link. Groups are the components of links at an estimated shingle similarity of
-    0.8 or more, each verified before it joins anything. Rows are told apart by place, so repeated rows and null ids are
-    fine. Empty and null texts are copies of each other.
+    Groups are the components of all pairs of rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or
+    more, compared by all shingles; rows of equal sets are one node. Rows are told apart by place, so repeated rows and
+    null ids are fine. Empty and null texts are copies of each other.
     """
     rows = keyed_rows(docs)
 
     def run(batches):
+        import xxhash
+
         for pdf in batches:
-            fp = np.array([fingerprint(t, CANDIDATE_WORDS) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
-            found = [sketch(t) for t in pdf["text"]]
-            sig, sketches = np.array([s for _, s in found], np.int64), [x for x, _ in found]
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "fp": fp, "sig": sig, "sketch": sketches})
+            sets = [shingles(t).astype("<i8").tobytes() for t in pdf["text"]]
+            digest = [xxhash.xxh3_128_digest(x) for x in sets]
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "set": sets})
 
     numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("_row.doc_id").cast("long").alias("doc_id"), "_key", "_row.text")
-    prints = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, fp long, sig long, sketch binary"))
+    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, set binary"))
+    prints = whole.select("rid", "doc_id", "_key", "digest")
 
     def least(row: str):
         return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")))["row"]
 
-    firsts = checkpoint(prints.groupBy("fp", "sig").agg(least("rid").alias("id")))
-    first = firsts.join(prints.select(F.col("rid").alias("id"), F.col("sketch").alias("y")), "id")
-    copies = prints.join(first, ["fp", "sig"]).where("rid != id").select(F.col("rid").alias("a"), F.col("id").alias("b"), F.col("sketch").alias("x"), "y")
-    same = checkpoint(_verified(copies).select(F.col("a").alias("rid")))
-    own = firsts.select(F.col("id").alias("rid"))
-    unlike = prints.join(own.union(same), "rid", "left_anti").select("fp", "sig", F.col("rid").alias("id"))
-    nodes = checkpoint(firsts.union(unlike))
-    edges = link(nodes, FILTER_RADIUS, most_parts=FILTER_PARTS)
-    ends = [prints.select(F.col("rid").alias(n), F.col("sketch").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
-    groups = components(_verified(edges.join(ends[0], "a").join(ends[1], "b")))
+    firsts = prints.groupBy("digest").agg(least("rid").alias("id"))
+    same = checkpoint(prints.join(firsts, "digest").where("rid != id").select("rid"))
+    copies = F.broadcast(same) if same.count() <= BROADCAST_IDS else same
+    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "set")
+    groups = components(similar_links(nodes))
     groups = checkpoint(groups.join(prints.select(F.col("rid").alias("node"), "doc_id"), "node"))
     kept = groups.groupBy("root").agg(least("node").alias("kept"))
     gone = same.union(groups.join(kept, "root").where("node != kept").select("node"))
