@@ -36,3 +36,12 @@ def test_appended_and_cut_copies_are_found(spark):
         base = words(rng, 150)  # 146 shingles
         texts += [base, base + words(rng, 35)] if len(texts) % 4 else [base, base[:122]]
     assert kept(spark, [" ".join(t) for t in texts]) == set(range(0, 80, 2))
+
+
+def test_the_border_is_exact(spark):
+    rng, texts, want = random.Random(6), [], set()
+    for k in range(60):
+        base, more = words(rng, 150), 35 + k % 4
+        want |= {2 * k, 2 * k + 1} if more > 36 else {2 * k}  # 146 / (146 + more) falls below 0.8 at 37
+        texts += [base, base + words(rng, more)]
+    assert kept(spark, [" ".join(t) for t in texts]) == want
