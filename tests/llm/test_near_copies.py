@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+import pytest
+
 from linkwright.llm import simhash
 
 
@@ -45,3 +48,39 @@ def test_the_border_is_exact(spark):
         want |= {2 * k, 2 * k + 1} if more > 36 else {2 * k}  # 146 / (146 + more) falls below 0.8 at 37
         texts += [base, base + words(rng, more)]
     assert kept(spark, [" ".join(t) for t in texts]) == want
+
+
+def family(rng, cousins):
+    """A template's variants, each unlike the others (about 0.7), with copies above and below 0.8 of each."""
+    base, texts = words(rng, 300), []
+    for _ in range(cousins):
+        w = list(base)
+        for at in rng.sample(range(300), 6):
+            w[at] = f"x{rng.randrange(10**6)}"
+        for edits in (0, 2, 5, 8):
+            c = list(w)
+            for at in rng.sample(range(300), edits):
+                c[at] = f"y{rng.randrange(10**6)}"
+            texts.append(" ".join(c))
+    return texts
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK_SHINGLES, 3000])
+def test_families_in_large_buckets(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK_SHINGLES", block)
+    texts = family(random.Random(7), 40)
+    label = groups(shingle_sets(texts))
+    assert len(texts) > 4 * simhash.SMALL and 5 < len(set(label)) < len(texts) - 5
+    assert kept(spark, texts) == set(label)
+
+
+def test_forest_joins_what_all_pairs_join():
+    texts = family(random.Random(8), 15)
+    sets = shingle_sets(texts)
+    edges = simhash.forest(np.arange(len(texts)), np.arange(len(texts)), [simhash.shingles(t) for t in texts])
+    label = list(range(len(texts)))
+    for a, b in edges:
+        assert groups([sets[a], sets[b]]) == [0, 0]
+        lo, hi = sorted((label[a], label[b]))
+        label = [lo if x == hi else x for x in label]
+    assert label == groups(sets)
