@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from linkwright.llm.common import checkpoint, documents, text_or_empty
+from linkwright.llm.common import documents, fresh_path, keyed_rows, text_or_empty
 
 #: Bytes of records a bucket holds on average; one task permutes one bucket at a time.
 BUCKET_BYTES = 64 << 20
+SHARDS = 16
 
 
 def two_pass_shuffle(records: DataFrame, size_col: str, shards: int, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -17,22 +19,15 @@ def two_pass_shuffle(records: DataFrame, size_col: str, shards: int, seed: int =
     Pass 1 scatters rows by a seeded hash of their position in the input, so that repeated rows, null keys or a hot
     key scatter like any other; pass 2 permutes each bucket with Spark's ``shuffle`` (Fisher-Yates). Row i of the
     order gets shard i mod ``shards`` and slot i div ``shards``: counts are at most one apart and slots gapless.
-    The order is one draw: another split of the input or of the buckets over tasks gives another. An empty input gives no rows; columns called
+    The order is one draw: other files or another split of the buckets over tasks give another. An empty input gives no rows; columns called
     like the helpers here don't clash, as a row travels as one struct; ``shard`` and ``slot`` in the input are replaced.
     """
     spark = records.sparkSession
     records = records.drop("shard", "slot")
-    row = checkpoint(
-        records.select(
-            F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("row"),
-            F.coalesce(F.col(f"`{size_col}`"), F.lit(0)).cast("long").alias("bytes"),
-            F.monotonically_increasing_id().alias("rid"),
-        )
-    )
-    total = row.agg(F.sum("bytes")).first()[0] or 0
+    total = records.agg(F.sum(F.col(f"`{size_col}`").cast("long"))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(8 * parts, -(-total // bucket_bytes))
-    row = row.select("row", F.xxhash64(F.lit(seed), "rid").alias("h"), "rid").withColumn("bucket", F.pmod("h", F.lit(buckets)))
+    row = keyed_rows(records).select(F.col("_row").alias("row"), F.xxhash64(F.lit(seed), "_key").alias("h"), F.col("_key").alias("rid")).withColumn("bucket", F.pmod("h", F.lit(buckets)))
     # One count per bucket comes to the driver: their number is the corpus over the bucket size.
     base, bases = 0, []
     for b, n in sorted((r[0], r[1]) for r in row.groupBy("bucket").count().collect()):
@@ -48,18 +43,28 @@ def two_pass_shuffle(records: DataFrame, size_col: str, shards: int, seed: int =
     )
 
 
-def write_shards(sharded: DataFrame, path: str) -> None:
+def write_shards(sharded: DataFrame, path: str, shards: int) -> None:
     """One folder per shard, its rows in slot order within each file; reruns overwrite."""
-    shards = sharded.select("shard").distinct().count()
-    sharded.repartitionByRange(max(1, shards), "shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+    files = max(shards, int(sharded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sharded.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of ``write_shards``; ``schema`` is that of what was written, as no rows leave no files."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards 0 to 15 of all documents under the law ``rows``; null texts have size 1 and checksum 0."""
-    text = text_or_empty()
-    records = documents(spark, sf_dir).select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32")
-    )
-    return two_pass_shuffle(records, "size", 16).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    """Shards 0 to 15 of all documents under the law ``rows``; null texts have size 1 and checksum 0.
+
+    Whole documents are shuffled and written; all columns are what the written shards give.
+    """
+    docs, text = documents(spark, sf_dir), text_or_empty()
+    size = (F.octet_length(text) + 1).cast("long")
+    sharded = two_pass_shuffle(docs.withColumn("_octets", size), "_octets", SHARDS)
+    path = fresh_path(spark, "shards")
+    sharded = sharded.drop("_octets")
+    write_shards(sharded, path, SHARDS)
+    return read_shards(spark, path, sharded.schema).select(
+        "doc_id", size.alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
