@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -69,9 +68,12 @@ def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, i
 
 
 def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, part, nth): token pieces of whole texts, ``nth`` of their length in their task."""
+    """(doc_id, piece, start, length, ids, part, nth): token pieces of whole texts, ``nth`` of their length in their task.
 
-    out = pa.schema([(n, pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth")])
+    ``ids`` holds the piece's token ids as little-endian u32.
+    """
+
+    out = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids", "part", "nth")])
 
     def cut(batches):
         enc, nth, part = encoder(path), {}, TaskContext.get().partitionId()
@@ -85,17 +87,17 @@ def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END
                     for k, start in enumerate(range(0, len(ids), context)):
                         piece = ids[start : start + context]
                         n = nth[len(piece)] = nth.get(len(piece), -1) + 1
-                        rows.append((doc_id, k, start, len(piece), zlib.crc32(piece), part, n))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=out)
+                        rows.append((doc_id, k, start, len(piece), piece.tobytes(), part, n))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
 
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece long, start long, length long, ids_crc32 long, part long, nth long")
+    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece long, start long, length long, ids binary, part long, nth long")
     return found.withColumn("piece", F.col("piece").cast("int"))
 
 
 def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to the rows of ``pieces``; every row gets one slot, slots of a sequence leave no gap.
 
-    A hot length is no hot key: ranks come from each task's own counts plus a running sum over tasks. What the driver
+    The ids stay with their piece. A hot length is no hot key: ranks come from each task's own counts plus a running sum over tasks. What the driver
     holds is the histogram (at most ``context`` lengths) and the plan. Null ids and repeated rows are packed like
     others; an empty input gives no rows.
     """
@@ -112,19 +114,32 @@ def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:
     base = F.sum("count").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     ranked = found.join(counts.select("part", "length", F.coalesce(base, F.lit(0)).alias("base")), ["part", "length"])
 
+    kept = ["doc_id", "piece", "start", "length", "ids"]
+
     def place(batches):
-        for pdf in batches:
-            rank = (pdf["base"] + pdf["nth"]).to_numpy(np.int64)
-            length = pdf["length"].to_numpy(np.int64)
+        for batch in batches:
+            length, nth, base = (batch.column(c).to_numpy() for c in ("length", "nth", "base"))
+            rank = base + nth
             run = runs[np.searchsorted(keys, (length << 48) | rank, side="right") - 1]
             r = rank - run[:, 1]
-            yield pdf[["doc_id", "piece", "start", "length", "ids_crc32"]].assign(
-                sequence_id=run[:, 3] + r // run[:, 4], offset=run[:, 5] + r % run[:, 4] * length, doc_id=pdf["doc_id"].astype("Int64")
-            )
+            new = {"sequence_id": pa.array(run[:, 3] + r // run[:, 4]), "offset": pa.array(run[:, 5] + r % run[:, 4] * length)}
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | new)
 
-    return ranked.mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, pieces, ids): the packed sequences; ``pieces`` says in order what lies where, ``ids`` are u32 as in ``pieces()``."""
+    parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
+    joined = F.aggregate("parts", F.lit(b""), lambda all_, p: F.concat(all_, p["ids"]))
+    return packed.groupBy("sequence_id").agg(parts.alias("parts")).select("sequence_id", F.transform("parts", lambda p: p.dropFields("ids")).alias("pieces"), joined.alias("ids"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every token of every document in sequences of at most 4096; null texts are a lone end id."""
-    return pack(pieces(documents(spark, sf_dir), tokenizer_path()))
+    """Every token of every document in sequences of at most 4096; null texts are a lone end id.
+
+    Checksums are those of the ids found in the packed sequences at each piece's place.
+    """
+    found = sequences(pack(pieces(documents(spark, sf_dir), tokenizer_path()))).select("sequence_id", "ids", F.explode("pieces").alias("p"))
+    ids = F.expr("substring(ids, cast(4 * p.offset + 1 as int), cast(4 * p.length as int))")
+    return found.select("p.doc_id", "p.piece", "p.start", "p.length", F.crc32(ids).alias("ids_crc32"), "sequence_id", "p.offset")

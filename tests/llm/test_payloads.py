@@ -3,9 +3,11 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 
-from linkwright.llm import sharding
+from linkwright.llm import packing, sharding
+from linkwright.llm.common import encoder, tokenizer_path
 
 
 def texts():
@@ -29,3 +31,20 @@ def test_op8_writes_whole_documents_in_slot_order(spark, tmp_path, monkeypatch):
     assert Counter(held) == Counter(rows)
     assert {(k, n) for k, v in slots.items() for n in v} == {(r["shard"], r["slot"]) for r in got} and len(got) == len(rows)
     assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and len(slots) == 16
+
+
+def test_sequences_hold_every_token(spark):
+    df = spark.createDataFrame(texts(), "doc_id long, text string")
+    got = packing.sequences(packing.pack(packing.pieces(df, tokenizer_path()))).collect()
+    back = {}
+    for r in got:
+        ids, at = np.frombuffer(r["ids"], "<u4"), 0
+        assert 0 < len(ids) <= packing.CONTEXT
+        for p in r["pieces"]:
+            assert p["offset"] == at
+            at += p["length"]
+            back.setdefault(p["doc_id"], {})[p["start"]] = ids[p["offset"] : at].tolist()
+        assert at == len(ids)
+    enc = encoder(tokenizer_path())
+    want = {i: [*enc._ids(t or ""), packing.END_ID] for i, t in texts()}
+    assert {i: [x for _, part in sorted(v.items()) for x in part] for i, v in back.items()} == want
