@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import zlib
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -293,7 +295,13 @@ def similar(common, a, b):
 
 
 def _sets(column) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<i8") for x in column]
+    """Sets of packed texts: these take a third of the hashes' bytes, and hashing them again is cheap."""
+    return [_unpacked(x) for x in column]
+
+
+@lru_cache(2048)
+def _unpacked(packed: bytes) -> np.ndarray:
+    return shingles(zlib.decompress(packed).decode())
 
 
 def frequent_shingles(nodes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -301,9 +309,9 @@ def frequent_shingles(nodes: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame({"key": np.concatenate([np.empty(0, np.int64), *_sets(pdf["set"])])})
+            yield pd.DataFrame({"key": np.concatenate([np.empty(0, np.int64), *_sets(pdf["packed"])])})
 
-    few = nodes.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // SAMPLE))) == 0).select("set")
+    few = nodes.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // SAMPLE))) == 0).select("packed")
     top = few.mapInPandas(run, "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(FREQUENT).collect()
     top = np.array(sorted((r[0], r[1]) for r in top), dtype=np.int64).reshape(-1, 2)
     return top[:, 0], top[:, 1]
@@ -337,7 +345,7 @@ def _bucketed(batches, keys, found):
 
 
 def candidates(nodes: DataFrame, n: int) -> DataFrame:
-    """(a, b, key, size) of ``nodes`` (id, set): pairs a < b that may be similar, or members a (b null) of a large bucket.
+    """(a, b, key, size) of ``nodes`` (id, packed): pairs a < b that may be similar, or members a (b null) of a large bucket.
 
     A bucket holds the sets with one shingle in their prefix. Of the shared shingles, one is the first in both orders;
     what is left of both sets from it on bounds the number shared.
@@ -346,7 +354,7 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
 
     def spread(batches):
         for pdf in batches:
-            sets = _sets(pdf["set"])
+            sets = _sets(pdf["packed"])
             heads = [prefix(x, frequent, counts) for x in sets]
             many = np.array([len(x) for x in heads])
             size = np.repeat(np.array([len(x) for x in sets]), many)
@@ -388,7 +396,7 @@ def _needed(nodes: DataFrame, ids: DataFrame) -> DataFrame:
 def similar_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar, by all their shingles."""
     sets = _needed(nodes, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-    ends = [sets.select(F.col("id").alias(n), F.col("set").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
+    ends = [sets.select(F.col("id").alias(n), F.col("packed").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
 
     def run(batches):
         for pdf in batches:
@@ -431,11 +439,11 @@ def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
     mine, other, s = F.pmod(F.xxhash64("id"), F.col("s")), F.col("o"), F.col("s")
     rows = members.join(split, "key").withColumn("o", F.explode(F.sequence(F.lit(0), s - 1)))
     rows = rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "root")
-    rows = rows.join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "set")
+    rows = rows.join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "packed")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def found(pdf, starts, ends):
-        ids, roots, sets = pdf["id"].to_numpy(np.int64), pdf["root"].to_numpy(np.int64), _sets(pdf["set"])
+        ids, roots, sets = pdf["id"].to_numpy(np.int64), pdf["root"].to_numpy(np.int64), _sets(pdf["packed"])
         e = [x for s, e in zip(starts.tolist(), ends.tolist(), strict=True) for x in forest(ids[s:e], roots[s:e], sets[s:e])]
         e = np.array(e, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
@@ -445,7 +453,7 @@ def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between similar sets of ``nodes`` (id, set); their closure is that of all similar pairs.
+    """Edges (a, b) between similar sets of ``nodes`` (id, packed); their closure is that of all similar pairs.
 
     Large buckets are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
     still hold sets of several groups.
@@ -477,12 +485,12 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         import xxhash
 
         for pdf in batches:
-            sets = [shingles(t).astype("<i8").tobytes() for t in pdf["text"]]
-            digest = [xxhash.xxh3_128_digest(x) for x in sets]
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "set": sets})
+            digest = [xxhash.xxh3_128_digest(shingles(t).tobytes()) for t in pdf["text"]]
+            packed = [zlib.compress((t or "").encode(), 1) for t in pdf["text"]]
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "packed": packed})
 
     numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("_row.doc_id").cast("long").alias("doc_id"), "_key", "_row.text")
-    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, set binary"))
+    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, packed binary"))
     prints = whole.select("rid", "doc_id", "_key", "digest")
 
     def least(row: str):
@@ -491,7 +499,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = prints.groupBy("digest").agg(least("rid").alias("id"))
     same = checkpoint(prints.join(firsts, "digest").where("rid != id").select("rid"))
     copies = F.broadcast(same) if same.count() <= BROADCAST_IDS else same
-    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "set")
+    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "packed")
     groups = components(similar_links(nodes))
     groups = checkpoint(groups.join(prints.select(F.col("rid").alias("node"), "doc_id"), "node"))
     kept = groups.groupBy("root").agg(least("node").alias("kept"))
