@@ -43,10 +43,12 @@ def two_pass_shuffle(records: DataFrame, size_col: str, shards: int, seed: int =
     )
 
 
-def write_shards(sharded: DataFrame, path: str, shards: int) -> None:
-    """One folder per shard, its rows in slot order within each file; reruns overwrite."""
-    files = max(shards, int(sharded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sharded.repartitionByRange(files, "shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+def write_shards(sharded: DataFrame, path: str) -> None:
+    """One folder per shard, its rows in slot order within each file; reruns overwrite.
+
+    Each task writes the rows of its own buckets, so that the documents aren't shuffled once more.
+    """
+    sharded.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -64,7 +66,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = two_pass_shuffle(docs.withColumn("_octets", size), "_octets", SHARDS)
     path = fresh_path(spark, "shards")
     sharded = sharded.drop("_octets")
-    write_shards(sharded, path, SHARDS)
+    write_shards(sharded, path)
     return read_shards(spark, path, sharded.schema).select(
         "doc_id", size.alias("size"), F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
