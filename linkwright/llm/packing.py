@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -70,7 +71,7 @@ def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, i
 def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END_ID) -> DataFrame:
     """(doc_id, piece, start, length, ids, part, nth): token pieces of whole texts, ``nth`` of their length in their task.
 
-    ``ids`` holds the piece's token ids as little-endian u32.
+    ``ids`` holds the piece's token ids in as many bytes each as the vocabulary needs (``unpacked``).
     """
 
     out = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids", "part", "nth")])
@@ -83,7 +84,7 @@ def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END
             for lo, hi in slices(texts):
                 rows = []
                 for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi]), strict=True):
-                    ids = np.append(ids, enc.dtype(end_id)).astype("<u4")
+                    ids = np.append(ids, enc.dtype(end_id))
                     for k, start in enumerate(range(0, len(ids), context)):
                         piece = ids[start : start + context]
                         n = nth[len(piece)] = nth.get(len(piece), -1) + 1
@@ -94,6 +95,11 @@ def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END
     return found.withColumn("piece", F.col("piece").cast("int"))
 
 
+def unpacked(ids: bytes, n: int) -> np.ndarray:
+    """The ``n`` token ids in the bytes of a piece or a sequence."""
+    return np.frombuffer(ids, f"<u{len(ids) // n}")
+
+
 def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to the rows of ``pieces``; every row gets one slot, slots of a sequence leave no gap.
 
@@ -129,7 +135,7 @@ def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """(sequence_id, pieces, ids): the packed sequences; ``pieces`` says in order what lies where, ``ids`` are u32 as in ``pieces()``."""
+    """(sequence_id, pieces, ids): the packed sequences; ``pieces`` says in order what lies where, ``ids`` are as in ``pieces()``."""
     parts = F.sort_array(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
     joined = F.aggregate("parts", F.lit(b""), lambda all_, p: F.concat(all_, p["ids"]))
     return packed.groupBy("sequence_id").agg(parts.alias("parts")).select("sequence_id", F.transform("parts", lambda p: p.dropFields("ids")).alias("pieces"), joined.alias("ids"))
@@ -140,6 +146,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Checksums are those of the ids found in the packed sequences at each piece's place.
     """
-    found = sequences(pack(pieces(documents(spark, sf_dir), tokenizer_path()))).select("sequence_id", "ids", F.explode("pieces").alias("p"))
-    ids = F.expr("substring(ids, cast(4 * p.offset + 1 as int), cast(4 * p.length as int))")
-    return found.select("p.doc_id", "p.piece", "p.start", "p.length", F.crc32(ids).alias("ids_crc32"), "sequence_id", "p.offset")
+    names = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    out = pa.schema([(n, pa.int32() if n == "piece" else pa.int64()) for n in names])
+
+    def digest(batches):
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                ids = unpacked(r["ids"], sum(p["length"] for p in r["pieces"])).astype("<u4")
+                for p in r["pieces"]:
+                    crc = zlib.crc32(ids[p["offset"] : p["offset"] + p["length"]])
+                    rows.append((p["doc_id"], p["piece"], p["start"], p["length"], crc, r["sequence_id"], p["offset"]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+
+    found = sequences(pack(pieces(documents(spark, sf_dir), tokenizer_path())))
+    return found.mapInArrow(digest, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
