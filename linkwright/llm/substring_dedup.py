@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import documents, fresh_path, text_or_empty
+from linkwright.llm.common import checkpoint, documents, fresh_path, text_or_empty
 from linkwright.llm.decontamination import ShingleHasher
 from linkwright.llm.suffix_sort import deep_shallow
 
@@ -29,6 +29,8 @@ GRAM = 32
 GROUP = 4096
 #: Contexts that one call sorts.
 BLOCK = 4096
+#: Hot anchors up to this number go to the executors by broadcast (8 bytes each); more are joined, in this many salted parts.
+HOT_ANCHORS, SALTS = 100_000, 64
 #: Numbers of neighbouring places that keep together when an anchor is split, by level.
 WIDTHS = (93, 24, 6, 2, 1)
 
@@ -103,18 +105,19 @@ def runs(mask: np.ndarray, length: int = LENGTH) -> list[tuple[int, int]]:
     return merged
 
 
-CONTEXT = pa.schema([("ck", pa.int64()), ("gh", pa.int64()), ("off", pa.int32()), ("ctx", pa.binary()), ("w", pa.int64()), ("parent", pa.binary()), ("shift", pa.int32())])
-CONTEXT_DDL = "ck long, gh long, off int, ctx binary, w long, parent binary, shift int"
+CONTEXT = pa.schema([("ck", pa.binary()), ("gh", pa.int64()), ("off", pa.int32()), ("ctx", pa.binary()), ("w", pa.int64()), ("parent", pa.binary()), ("shift", pa.int32())])
+CONTEXT_DDL = "ck binary, gh long, off int, ctx binary, w long, parent binary, shift int"
 
 
 def _batch(rows: list[tuple], schema: pa.Schema):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _key(gh: int, off: int, ctx: bytes) -> int:
+def _key(gh: int, off: int, ctx: bytes) -> bytes:
+    """128 bits that stand for a context: contexts are too many for 64."""
     import xxhash
 
-    return int.from_bytes(xxhash.xxh64_digest(ctx, seed=(gh ^ off) & 0xFFFFFFFFFFFFFFFF), "big", signed=True)
+    return xxhash.xxh3_128_digest(ctx, seed=(gh ^ off) & 0xFFFFFFFFFFFFFFFF)
 
 
 def _split(width: int):
@@ -133,58 +136,77 @@ def _split(width: int):
                     core = ctx[off - k * width : off + LENGTH - (k + 1) * width + 1]
                     g = int.from_bytes(xxhash.xxh64_digest(core, seed=(gh + 31 * k) & 0xFFFFFFFFFFFFFFFF), "big", signed=True)
                     c = ctx[i0 : i1 + LENGTH]
-                    rows.append((_key(g, off - i0, c), g, off - i0, c, w, ck.to_bytes(8, "big", signed=True), i0))
+                    rows.append((_key(g, off - i0, c), g, off - i0, c, w, ck, i0))
             if rows:
                 yield _batch(rows, CONTEXT)
 
     return run
 
 
-INTERVAL = pa.schema([("ck", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+INTERVAL = pa.schema([("ck", pa.binary()), ("s", pa.int32()), ("e", pa.int32())])
 
 
 def _sort_groups(batches):
     """Rows (ck, gh, off, ctx, w) sorted by gh: covered ranges of contexts that occur once, block by block."""
+    group: list[tuple] = []
     held: list[tuple] = []
 
-    def solve(rows):
-        found = repeated([r[3] for r in rows], [r[2] for r in rows])
-        out = [(r[0], s, e) for r, mask in zip(rows, found, strict=True) if r[4] < 2 for s, e in runs(mask)]
+    def solve():
+        found = repeated([r[3] for r in held], [r[2] for r in held])
+        out = [(r[0], s, e) for r, mask in zip(held, found, strict=True) if r[4] < 2 for s, e in runs(mask)]
+        held.clear()
         return [_batch(out, INTERVAL)] if out else []
 
+    def close():
+        # An anchor's contexts matter if there are at least two and one of them occurs once.
+        if len(group) > 1 and min(r[4] for r in group) < 2:
+            held.extend(group)
+        group.clear()
+
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if len(held) >= BLOCK and row[1] != held[-1][1]:
-                yield from solve(held)
-                held = []
-            held.append(row)
+            if group and row[1] != group[-1][1]:
+                close()
+                if len(held) >= BLOCK:
+                    yield from solve()
+            group.append(row)
+    close()
     if held:
-        yield from solve(held)
+        yield from solve()
 
 
 def _covered(rows: DataFrame, level: int = 0) -> DataFrame:
-    """(ck, s, e): covered byte ranges of each distinct context in ``rows`` (CONTEXT)."""
+    """(ck, s, e): covered byte ranges of each distinct context in ``rows`` (CONTEXT).
+
+    Contexts are never joined by anchor, which may hold half of them: the hot anchors' ids are held against all rows,
+    the other anchors meet by a shuffle of their own. (A shuffle that only confirms a join's partitioning is left out by
+    the planner, and adaptive execution may then read the join's rows in other partitions.)
+    """
     spark = rows.sparkSession
     path = fresh_path(spark, "contexts")
     rows.groupBy("ck").agg(F.first("gh").alias("gh"), F.first("off").alias("off"), F.first("ctx").alias("ctx"), F.sum("w").alias("w")).write.option("compression", "zstd").parquet(path)
-    found = spark.read.parquet(path)
-    whole = found.where("w > 1").select("ck", F.lit(0).alias("s"), F.length("ctx").cast("int").alias("e"))
-    # An anchor's contexts matter if there are at least two and one of them occurs once.
-    sizes = found.groupBy("gh").agg(F.count(F.lit(1)).alias("size"), F.min("w").alias("least")).where("size > 1 AND least < 2").select("gh", "size")
-    sized = found.join(sizes, "gh").select("ck", "gh", "off", "ctx", "w", "size")
-    few = sized.where(F.col("size") <= GROUP).drop("size")
+    found = spark.read.parquet(path).select("ck", "gh", "off", "ctx", "w")
+    out = found.where("w > 1").select("ck", F.lit(0).alias("s"), F.length("ctx").cast("int").alias("e"))
+    few = found
+    if level < len(WIDTHS):
+        hot = checkpoint(found.groupBy("gh").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > GROUP).select("gh"))
+        if n_hot := hot.count():
+            few, many = _held_against(found, hot, n_hot, "left_anti"), _held_against(found, hot, n_hot, "left_semi")
+            below = fresh_path(spark, "contexts")
+            many.mapInArrow(_split(WIDTHS[level]), CONTEXT_DDL).write.option("compression", "zstd").parquet(below)
+            children = spark.read.parquet(below)
+            up = _covered(children, level + 1).join(children.select("ck", "parent", "shift"), "ck")
+            out = out.union(up.select(F.col("parent").alias("ck"), (F.col("s") + F.col("shift")).alias("s"), (F.col("e") + F.col("shift")).alias("e")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = few.repartition(parts, "gh").sortWithinPartitions("gh").mapInArrow(_sort_groups, "ck long, s int, e int")
-    out = whole.union(sorted_)
-    if level < len(WIDTHS) and not sizes.where(F.col("size") > GROUP).isEmpty():
-        below = fresh_path(spark, "contexts")
-        many = sized.where(F.col("size") > GROUP).drop("size")
-        many.mapInArrow(_split(WIDTHS[level]), CONTEXT_DDL).write.option("compression", "zstd").parquet(below)
-        children = spark.read.parquet(below)
-        up = _covered(children, level + 1).join(children.select("ck", "parent", "shift"), "ck")
-        parent = F.conv(F.hex("parent"), 16, -10).cast("long")
-        out = out.union(up.select(parent.alias("ck"), (F.col("s") + F.col("shift")).alias("s"), (F.col("e") + F.col("shift")).alias("e")))
-    return out
+    return out.union(few.repartition(parts, "gh").sortWithinPartitions("gh").mapInArrow(_sort_groups, "ck binary, s int, e int"))
+
+
+def _held_against(found: DataFrame, hot: DataFrame, n_hot: int, how: str) -> DataFrame:
+    """Rows of ``found`` whose anchor is hot (left_semi) or isn't (left_anti); a hot anchor's rows never meet in one task."""
+    if n_hot <= HOT_ANCHORS:
+        return found.join(F.broadcast(hot), "gh", how).select(*found.columns)
+    salted = hot.select("gh", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return found.withColumn("salt", F.pmod(F.xxhash64("ck"), F.lit(SALTS)).cast("int")).join(salted, ["gh", "salt"], how).select(*found.columns)
 
 
 def _anchor_rows(batches):
@@ -264,7 +286,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     covered = covered.groupBy(F.col("parent").alias("digest")).agg(F.collect_set(F.struct((F.col("s") + F.col("shift")).alias("s"), (F.col("e") + F.col("shift")).alias("e"))).alias("found"))
     cut = texts.join(covered, "digest", "left").select("digest", "text", "copies", "found")
     cut = cut.mapInArrow(_cut, "digest binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<array<int>>")
-    return keyed.select("doc_id", "digest").join(cut, "digest").drop("digest")
+    out = keyed.select("doc_id", "digest").join(cut, "digest").drop("digest")
+    # The result reads the table's files, not its name.
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
