@@ -8,16 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkwright.llm.common import documents
 
 WORD = re.compile(r"[^\W\d_]+")
-#: The classifier is fitted on at most this many documents of each language, and this many characters and words of each.
-FIT_DOCS = 200
-FIT_CHARS = 4000
-FIT_WORDS = 160
+#: The classifier is fitted on the whole texts of at most this many different rows of each language.
+FIT_DOCS = 64
 DIMENSIONS = 1 << 17
-WIDTH = 32
+#: Letters of the words whose features are made at once; a longer word is alone.
+CHUNK = 100_000
 LEXICON = 300
 EPOCHS = 60
 
@@ -27,49 +27,58 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
-def features(words: list[str]) -> np.ndarray:
-    """Hashed features of words (one row each; ``DIMENSIONS`` pads): prefixes and suffixes of 1 to 4 letters, bigrams
-    and trigrams with word ends, the whole word. Of words over 30 letters, the first and last 15 count."""
-    words = [w if len(w) <= WIDTH - 2 else w[: WIDTH // 2 - 1] + w[1 - WIDTH // 2 :] for w in words]
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature): hashed features of all letters of each word. Prefixes and suffixes of 1 to 4 letters, bigrams and
+    trigrams with word ends, the whole word. Words stand one after the other, so none is too long."""
+    import xxhash
+
     n = len(words)
     size = np.fromiter(map(len, words), np.int64, n)
-    chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-    row = np.repeat(np.arange(n), size)
-    col = np.arange(len(chars)) - np.repeat(np.cumsum(size) - size, size) + 1
-    u = np.zeros((n, WIDTH), dtype=np.uint64)
-    u[:, 0] = 1
-    u[row, col] = chars
+    begin = np.cumsum(size + 2) - size - 2
     at = np.arange(n)
-    u[at, size + 1] = 2
-    used = int(size.max(initial=0)) + 2
-    u = u[:, :used]
+    owner = np.repeat(at, size + 2)
+    u = np.ones(int(size.sum()) + 2 * n, dtype=np.uint64)
+    u[begin + size + 1] = 2
+    inner = np.ones(len(u), dtype=bool)
+    inner[begin] = inner[begin + size + 1] = False
+    u[inner] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     a, b = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-    def put(h: np.ndarray, tag: int, ok: np.ndarray) -> np.ndarray:
+    def put(h: np.ndarray, tag: int) -> np.ndarray:
         h = (h + np.uint64(tag)) * a
         h ^= h >> np.uint64(31)
-        h = (h * b) >> np.uint64(64 - 17)
-        return np.where(ok, h, DIMENSIONS).astype(np.int32)
-
-    out = []
-    two = u[:, :-1] * a + u[:, 1:]
-    out.append(put(two, 2, u[:, 1:] > 0))
-    if used > 3:
-        three = two[:, :-1] * b + u[:, 2:]
-        out.append(put(three, 3, u[:, 2:] > 0))
+        return ((h * b) >> np.uint64(64 - 17)).astype(np.int32)
+
+    rows, out = [], []
+    two = u[:-1] * a + u[1:]
+    within = owner[1:] == owner[:-1]
+    rows.append(owner[:-1][within])
+    out.append(put(two[within], 2))
+    within = owner[2:] == owner[:-2]
+    rows.append(owner[:-2][within])
+    out.append(put((two[:-1] * b + u[2:])[within], 3))
     head, tail = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
     for k in range(1, 5):
-        if k < used:
-            head = head * a + u[:, k]
-            tail = tail * b + u[at, np.maximum(size + 1 - k, 0)]
         ok = size >= k
-        out += [put(head, 10 + k, ok)[:, None], put(tail, 20 + k, ok)[:, None]]
-    whole = np.zeros(n, np.uint64)
-    for k in range(used):
-        whole = (whole ^ u[:, k]) * a
-        whole ^= whole >> np.uint64(29)
-    out.append(put(whole, 30, size > 0)[:, None])
-    return np.concatenate(out, axis=1)
+        head[ok] = head[ok] * a + u[(begin + k)[ok]]
+        tail[ok] = tail[ok] * b + u[(begin + size + 1 - k)[ok]]
+        rows += [at[ok], at[ok]]
+        out += [put(head[ok], 10 + k), put(tail[ok], 20 + k)]
+    rows.append(at)
+    out.append(put(np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64), 30))
+    return np.concatenate(rows), np.concatenate(out)
+
+
+def _chunks(words: list[str]):
+    """(place of the first, words): runs of words with few enough letters."""
+    lo = total = 0
+    for i, w in enumerate(words):
+        if total and total + len(w) > CHUNK:
+            yield lo, words[lo:i]
+            lo, total = i, 0
+        total += len(w)
+    if lo < len(words):
+        yield lo, words[lo:]
 
 
 def _chain(score: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
@@ -99,15 +108,20 @@ class WordTagger:
 
     def __init__(self, labels: list[str], weights: np.ndarray, trans: np.ndarray, lexicon: dict[str, int]):
         self.labels, self.weights, self.trans, self.lexicon = labels, weights, trans, lexicon
+        self.columns = np.ascontiguousarray(weights.T)
         self.rows: dict[str, int] = {}
         self.scores = np.empty((0, len(labels)), dtype=np.float32)
 
     def _emission(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.labels)), dtype=np.float32)
-        for at in range(0, len(words), 4000):
-            part = words[at : at + 4000]
-            lex = np.array([DIMENSIONS + 1 + self.lexicon.get(w, -1) if w in self.lexicon else DIMENSIONS for w in part], dtype=np.int32)
-            out[at : at + 4000] = self.weights[np.c_[features(part), lex]].sum(axis=1)
+        for lo, part in _chunks(words):
+            row, index = features(part)
+            for k, w in enumerate(self.columns):
+                out[lo : lo + len(part), k] = np.bincount(row, w[index], len(part))
+        known = [(i, DIMENSIONS + 1 + self.lexicon[w]) for i, w in enumerate(words) if w in self.lexicon]
+        if known:
+            i, lex = np.array(known).T
+            out[i] += self.weights[lex]
         return out
 
     @classmethod
@@ -123,7 +137,6 @@ class WordTagger:
         counts: list[dict[str, int]] = [{} for _ in labels]
         windows = []
         for lang, words in samples:
-            words = words[:FIT_WORDS]
             for w in words:
                 counts[code[lang]][w] = counts[code[lang]].get(w, 0) + 1
             windows += [(code[lang], words[i : i + 20]) for i in range(0, len(words), 20)]
@@ -142,33 +155,31 @@ class WordTagger:
         vocab = {w: i for i, w in enumerate(dict.fromkeys(w for _, w in packed))}
         y, word = np.array([c for c, _ in packed]), np.array([vocab[w] for _, w in packed])
         size = DIMENSIONS + 1 + len(labels)
-        lex = np.array([DIMENSIONS + 1 + lexicon[w] if w in lexicon else DIMENSIONS for w in vocab], dtype=np.int32)
-        index, place = np.unique(np.c_[features(list(vocab)), lex], return_inverse=True)
-        place = place.reshape(len(vocab), -1)
-        pad = np.searchsorted(index, DIMENSIONS)
+        parts = [(lo + row, index) for lo, ws in _chunks(list(vocab)) for row, index in [features(ws)]]
+        known = np.array([(i, DIMENSIONS + 1 + lexicon[w]) for w, i in vocab.items() if w in lexicon], dtype=np.int64).reshape(-1, 2)
+        owner = np.concatenate([*(p[0] for p in parts), known[:, 0]])
+        index, place = np.unique(np.concatenate([*(p[1] for p in parts), known[:, 1]]), return_inverse=True)
         n_labels = len(labels)
         w, t = np.zeros((len(index), n_labels)), np.zeros((n_labels, n_labels))
         gw, gt = np.full_like(w, 1e-2), np.full_like(t, 1e-2)
         gold = np.zeros((len(y), n_labels))
         gold[np.arange(len(y)), y] = 1
-        flat = place.ravel()
         for _ in range(epochs):
-            marginal, f, back, spans = _chain(w[place].sum(axis=1)[word], lengths, t)
+            score = np.stack([np.bincount(owner, w[place, k], len(vocab)) for k in range(n_labels)], axis=1)
+            marginal, f, back, spans = _chain(score[word], lengths, t)
             diff = np.stack([np.bincount(word, (gold - marginal)[:, k], len(vocab)) for k in range(n_labels)], axis=1)
-            grad = np.stack([np.bincount(flat, np.repeat(diff[:, k], place.shape[1]), len(index)) for k in range(n_labels)], axis=1) - 0.02 * w
+            grad = np.stack([np.bincount(place, diff[owner, k], len(index)) for k in range(n_labels)], axis=1) - 0.02 * w
             m, gt_now = np.exp(t), -0.02 * t
             for (lo, _), (lo2, hi2) in zip(spans, spans[1:], strict=False):
                 pair = f[lo : lo + hi2 - lo2, :, None] * m * back[lo2:hi2, None, :]
                 pair /= pair.sum(axis=(1, 2), keepdims=True)
                 gt_now += gold[lo : lo + hi2 - lo2].T @ gold[lo2:hi2] - pair.sum(axis=0)
-            grad[pad] = 0
             gw += grad**2
             gt += gt_now**2
             w += 0.3 * grad / np.sqrt(gw)
             t += 0.3 * gt_now / np.sqrt(gt)
         weights = np.zeros((size, n_labels), dtype=np.float32)
         weights[index] = w
-        weights[DIMENSIONS] = 0
         return cls(labels, weights, t, lexicon)
 
     def _ids(self, docs: list[list[str]]) -> list[np.ndarray]:
@@ -232,15 +243,21 @@ def held_out():
 
 
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> WordTagger:
-    """Learns from a seeded sample of documents with a language that aren't held out: about ``fit_docs`` for each
-    language, whatever the input's size; of each, the first ``FIT_CHARS`` characters. Languages are counted over all rows."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & ~held_out()).select(F.xxhash64(F.lit(11), "doc_id").alias("h"), "lang", "text", "doc_id")
-    counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
+    """Learns from the whole texts of at most ``fit_docs`` rows of each language, whatever the input's size: rows with a
+    language that aren't held out, those of the least seeded hashes of id and text. Languages are counted over all
+    rows; equal rows are one, however many they are, so that none can swell the sample."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & F.col("doc_id").isNotNull() & ~held_out())
+    known = known.select(F.xxhash64(F.lit(11), "doc_id", "text").alias("h"), "lang", "text")
+    counts = {r[0]: r[1] for r in known.groupBy("lang").agg(F.approx_count_distinct("h")).collect()}
+    if not counts:
+        return WordTagger.fit([])
+    # A hash's bound leaves about four times the rows that are taken; only these are ranked.
     pick = F.lit(False)
     for lang, n in counts.items():
-        pick = pick | ((F.col("lang") == lang) & (F.pmod("h", F.lit(1 << 30)) < int(min(1.0, fit_docs / n) * (1 << 30))))
-    rows = known.where(pick).select("lang", F.substring("text", 1, FIT_CHARS).alias("text"), "h", "doc_id").collect() if counts else []
-    rows.sort(key=lambda r: (r["lang"], r["h"], r["doc_id"], r["text"]))
+        pick = pick | ((F.col("lang") == lang) & (F.pmod("h", F.lit(1 << 30)) < int(min(1.0, 4 * fit_docs / n) * (1 << 30))))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h"))
+    rows = known.where(pick).groupBy("lang", "h").agg(F.first("text").alias("text")).withColumn("rank", rank).where(F.col("rank") <= fit_docs).collect()
+    rows.sort(key=lambda r: (r["lang"], r["rank"]))
     return WordTagger.fit([(r["lang"], words_of(r["text"])) for r in rows])
 
 
@@ -248,7 +265,7 @@ def predict(docs: DataFrame, tagger: WordTagger) -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``score``: the label with most of the words' probability and its share.
 
     Only ``text`` is looked at. Null texts, texts without a letter, and all texts where nothing could be learned are
-    ``und`` with score 0. Repeated rows stay; columns of these names in the input are replaced.
+    ``und`` with score 0. Of equal shares the first language by name is taken. Repeated rows stay; columns of these names in the input are replaced.
     """
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     labels, weights, trans, lexicon = tagger.labels, tagger.weights, tagger.trans, tagger.lexicon
