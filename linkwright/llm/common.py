@@ -12,21 +12,55 @@ import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset, a local one serves a local session
+    only (tests); on a cluster the setting is missed loudly, as executors don't see each other's folders."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         path = "file://" + tempfile.mkdtemp(prefix="linkwright-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_WRITTEN: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; ``release`` deletes it."""
+    _WRITTEN.append(path := f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing will read again."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what operators wrote below the shared folder in this session; results that weren't stored can't be read then."""
+    for path in _WRITTEN:
+        remove(spark, path)
+    _WRITTEN.clear()
+
+
+def running_bases(counts: DataFrame, group: str, order: str, n: str) -> DataFrame:
+    """``counts`` plus ``base``: the sum of ``n`` over all rows before, by (group, order).
+
+    Sums run inside each group; only one row a group meets in one task, for the sums over groups.
+    """
+    within = F.sum(n).over(Window.partitionBy(group).orderBy(order)) - F.col(n)
+    groups = counts.groupBy(F.col(group).alias("_group")).agg(F.sum(n).alias("_n"))
+    before = groups.select("_group", (F.sum("_n").over(Window.orderBy("_group")) - F.col("_n")).alias("_before"))
+    out = counts.withColumn("_within", within).join(before, F.col(group) == F.col("_group"))
+    return out.select(*counts.columns, (F.col("_before") + F.col("_within")).alias("base"))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

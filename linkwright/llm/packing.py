@@ -6,6 +6,7 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from linkwright.llm.common import checkpoint, documents, encoder, slices, tokeni
 
 CONTEXT = 4096
 END_ID = 1
-#: A plan of more runs than this isn't sent to the executors by closure but joined by length.
+#: A plan of more runs than this isn't sent to the executors by closure but joined by length and rank, this many ranks a group.
 MAX_RUNS = 1_000_000
+RANKS = 4096
 
 
 def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, int, int, int, int, int]]:
@@ -111,27 +113,50 @@ def pack(found: DataFrame, context: int = CONTEXT) -> DataFrame:
     counts = checkpoint(found.groupBy("part", "length").count())
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("count")).collect()}
     runs = np.array(plan(histogram, context), dtype=np.int64).reshape(-1, 6)
-    if len(runs) > MAX_RUNS:
-        raise ValueError(f"the plan has {len(runs)} runs")
     order = np.lexsort((runs[:, 1], runs[:, 0]))
     runs = runs[order]
-    # (length, rank) as one number: ranks stay below 2^48
-    keys = (runs[:, 0] << 48) | runs[:, 1]
     base = F.sum("count").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     ranked = found.join(counts.select("part", "length", F.coalesce(base, F.lit(0)).alias("base")), ["part", "length"])
-
     kept = ["doc_id", "piece", "start", "length", "ids"]
+    if len(runs) > MAX_RUNS:
+        return _joined(ranked, runs, kept)
+    # (length, rank) as one number: ranks stay below 2^48
+    keys = (runs[:, 0] << 48) | runs[:, 1]
 
     def place(batches):
         for batch in batches:
             length, nth, base = (batch.column(c).to_numpy() for c in ("length", "nth", "base"))
-            rank = base + nth
-            run = runs[np.searchsorted(keys, (length << 48) | rank, side="right") - 1]
-            r = rank - run[:, 1]
-            new = {"sequence_id": pa.array(run[:, 3] + r // run[:, 4]), "offset": pa.array(run[:, 5] + r % run[:, 4] * length)}
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | new)
+            seq, offset = _slots(runs, keys, length, base + nth)
+            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in kept} | {"sequence_id": pa.array(seq), "offset": pa.array(offset)})
+
+    return ranked.mapInArrow(place, PACKED)
+
+
+PACKED = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+
+
+def _slots(runs: np.ndarray, keys: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of the pieces of these lengths and ranks."""
+    run = runs[np.searchsorted(keys, (length << 48) | rank, side="right") - 1]
+    r = rank - run[:, 1]
+    return run[:, 3] + r // run[:, 4], run[:, 5] + r % run[:, 4] * length
+
+
+def _joined(ranked: DataFrame, runs: np.ndarray, kept: list[str]) -> DataFrame:
+    """Pieces and runs meet by length and ``RANKS`` ranks: a group has that many pieces at most, and one run for each or fewer."""
+    names = ["length", "first", "n", "seq", "items", "room"]
+    plan_ = ranked.sparkSession.createDataFrame(pd.DataFrame(runs, columns=names))
+    blocks = F.sequence(F.floor(F.col("first") / RANKS), F.floor((F.col("first") + F.col("n") - 1) / RANKS))
+    plan_ = plan_.withColumn("block", F.explode(blocks))
+    rows = ranked.withColumn("rank", F.col("base") + F.col("nth")).withColumn("block", F.floor(F.col("rank") / RANKS)).select(*kept, "rank", "block")
+
+    def place(pieces_: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("first")[names].to_numpy(np.int64)
+        seq, offset = _slots(own, (own[:, 0] << 48) | own[:, 1], pieces_["length"].to_numpy(np.int64), pieces_["rank"].to_numpy(np.int64))
+        return pieces_[kept].assign(doc_id=pieces_["doc_id"].astype("Int64"), sequence_id=seq, offset=offset)
 
-    return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long")
+    keys = ["length", "block"]
+    return rows.groupBy(*keys).cogroup(plan_.groupBy(*keys)).applyInPandas(place, PACKED)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Token-id files: static range asymmetric numeral coding with shared tables, interleaved lanes, checkpoints and checksums.
 
-File format. A dataset is Parquet rows, one for each block; rows of one ``shard`` share a frequency ``table`` and are
-coded independently of each other. ``table``: zlib of little-endian u32 (symbols used, then their ids, then their
+File format. A dataset is a folder ``blocks`` of Parquet rows, one for each block, and a folder ``table`` with the one
+frequency table that all blocks share; blocks are coded independently of each other. ``table``: zlib of little-endian u32 (symbols used, then their ids, then their
 frequencies, which sum to 2^18). ``payload``: header of seven little-endian u32 (magic, ids, lanes, checkpoints, steps
 between checkpoints, CRC-32 of the ids as u32, CRC-32 of all that follows), then for each checkpoint a u64 word offset
 and the lanes' u64 states, then the u32 words. Symbol ``t * lanes + k`` is the t-th of lane k. Decoding may begin at
@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import documents, encoder, fresh_path, slices, tokenizer_path
+from linkwright.llm.common import checkpoint, documents, encoder, fresh_path, remove, running_bases, slices, tokenizer_path
 
 BITS = 18
 LOW = np.uint64(1 << 31)
@@ -119,74 +119,128 @@ class Codec:
         return out[first * lanes :]
 
 
-BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("table", pa.binary()), ("payload", pa.binary())])
+BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
+BLOCK_DDL = "shard int, block int, ids long, doc_ids array<long>, lengths array<long>, payload binary"
+#: Blocks up to this number have their starts broadcast (24 bytes each); those of more are joined.
+BROADCAST_BLOCKS = 200_000
+
+
+def _column_ids(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch's binary column as one array, and how many each row has."""
+    width = np.dtype(dtype).itemsize
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    return raw.view(dtype), np.diff(offsets) // width
+
+
+def tokenized(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> np.dtype:
+    """Writes (doc_id, h, rid, ids) of each document to ``path``, ids packed in the type that is returned."""
+    dtype = encoder(tokenizer).dtype
+    schema = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("rid", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches):
+        enc = encoder(tokenizer)
+        end = np.array([end_id], enc.dtype).tobytes()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(3).to_pylist()]
+            for lo, hi in slices(texts):
+                ids = pa.array([x.tobytes() + end for x in enc.encode(texts[lo:hi])], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(lo, hi - lo) for i in range(3)), ids], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("rid"), "text")
+    rows.mapInArrow(run, "doc_id long, h long, rid long, ids binary").write.mode("overwrite").option("compression", "none").parquet(path)
+    return np.dtype(dtype)
+
+
+def id_counts(tokens: DataFrame, dtype: np.dtype) -> np.ndarray:
+    """How often each id occurs in all of ``tokens``: one row per id and task is shuffled, one per id comes to the driver."""
+
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            n = np.bincount(_column_ids(batch.column(0), dtype)[0])
+            if len(n) > len(total):
+                n[: len(total)] += total
+                total = n
+            else:
+                total[: len(n)] += n
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+    found = tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    ids = found.column(0).to_numpy()
+    out = np.zeros(int(ids.max(initial=-1)) + 1, np.int64)
+    out[ids] = found.column(1).to_numpy()
+    return out
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
-    """Ids of all documents in ascending order of doc_id (nulls first; repeated ids by a hash of the text).
+    """Ids of all documents in ascending order of doc_id (nulls first; repeated ids by a hash of the text, then by row).
 
-    Shards are ranges of doc_id, so their number order is the order of documents. A shard's ids are held in its task
-    while its table is counted; a document is never split over blocks. Null texts are a lone end id.
+    Documents are tokenized once, to files; their ids' counts over all documents make one table, which all blocks share
+    (``path``/table). Then the ids are dealt over ranges of doc_id, whose numbers are the shards' (``path``/blocks). A
+    task holds one block, whatever the shard's size; equal rows don't keep a range together. A document is never split
+    over blocks. Null texts are a lone end id.
     """
+    spark = docs.sparkSession
+    held = fresh_path(spark, "tokens")
+    dtype = tokenized(docs, held, tokenizer, end_id)
+    tokens = spark.read.schema("doc_id long, h long, rid long, ids binary").parquet(held)
+    table = frequency_table(id_counts(tokens, dtype))
 
     def code(batches):
-        enc, doc_ids, parts = encoder(tokenizer), [], []
+        codec, shard, block = Codec(table), TaskContext.get().partitionId(), 0
+        doc_ids, lengths, parts, n = [], [], [], 0
+
+        def close():
+            row = [shard, block, n, doc_ids, lengths, codec.encode(np.concatenate(parts))]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
+
         for batch in batches:
-            got = batch.to_pydict()
-            texts = [t or "" for t in got["text"]]
-            doc_ids += got["doc_id"]
-            for lo, hi in slices(texts):
-                parts += [np.append(ids, enc.dtype(end_id)) for ids in enc.encode(texts[lo:hi])]
-        if not parts:
-            return
-        counts = sum(np.bincount(np.concatenate(parts[i : i + 1000]), minlength=1 << 8 * enc.dtype().itemsize if enc.dtype is np.uint16 else enc.tokenizer.get_vocab_size()) for i in range(0, len(parts), 1000))
-        table = frequency_table(counts)
-        codec, shard, block, lo = Codec(table), TaskContext.get().partitionId(), 0, 0
-        while lo < len(parts):
-            hi, n = lo, 0
-            while hi < len(parts) and (hi == lo or n + len(parts[hi]) <= block_ids):
-                n += len(parts[hi])
-                hi += 1
-            row = [shard, block, n, doc_ids[lo:hi], [len(p) for p in parts[lo:hi]], table, codec.encode(np.concatenate(parts[lo:hi]))]
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
-            block, lo = block + 1, hi
-
-    (
-        docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h"))
-        .repartitionByRange("doc_id", "h")
-        .sortWithinPartitions("doc_id", "h")
-        .select("doc_id", "text")
-        .mapInArrow(code, "shard int, block int, ids long, doc_ids array<long>, lengths array<long>, table binary, payload binary")
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+            ids, many = _column_ids(batch.column(1), dtype)
+            own, ends, lo = batch.column(0).to_pylist(), np.cumsum(many), 0
+            while lo < len(own):
+                before = int(ends[lo] - many[lo])
+                hi = int(np.searchsorted(ends, before + block_ids - n, side="right"))
+                if hi <= lo and not n:
+                    hi = lo + 1  # longer than a block: alone in one
+                if hi > lo:
+                    doc_ids += own[lo:hi]
+                    lengths += many[lo:hi].tolist()
+                    parts.append(ids[before : int(ends[hi - 1])].copy())
+                    n += int(ends[hi - 1]) - before
+                    lo = hi
+                if lo < len(own):
+                    yield close()
+                    doc_ids, lengths, parts, n, block = [], [], [], 0, block + 1
+        if parts:
+            yield close()
+
+    ordered = tokens.repartitionByRange("doc_id", "h", "rid").sortWithinPartitions("doc_id", "h", "rid").select("doc_id", "ids")
+    ordered.mapInArrow(code, BLOCK_DDL).write.mode("overwrite").parquet(f"{path}/blocks")
+    spark.createDataFrame([(bytearray(table),)], "table binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/table")
+    remove(spark, held)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the decoded blocks; blocks decode in parallel."""
-    blocks = spark.read.parquet(path)
-    # One row per block, without payloads, comes to the driver: 2^20 ids each.
-    base, bases = 0, []
-    for r in sorted(blocks.select("shard", "block", "ids").collect()):
-        bases.append((r[0], r[1], base))
-        base += r[2]
+    blocks = spark.read.schema(BLOCK_DDL).parquet(f"{path}/blocks")
+    table = bytes(spark.read.parquet(f"{path}/table").first()["table"])
+    bases = checkpoint(running_bases(blocks.select("shard", "block", "ids"), "shard", "block", "ids").drop("ids"))
+    bases = F.broadcast(bases) if bases.count() <= BROADCAST_BLOCKS else bases
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def decode(batches):
-        table, codec = None, None
+        codec = Codec(table)
         for batch in batches:
-            for r in batch.to_pylist():
-                if r["table"] != table:
-                    table, codec = r["table"], Codec(r["table"])
-                ids = codec.decode(r["payload"]).astype("<u4")
-                lengths = np.array(r["lengths"], dtype=np.int64)
+            for payload, doc_ids, many, base in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = memoryview(codec.decode(payload).astype("<u4").tobytes())
+                lengths = np.array(many, dtype=np.int64)
                 ends = np.cumsum(lengths)
-                raw = memoryview(ids.tobytes())
-                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), r["lengths"], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(r["doc_ids"], pa.int64()), pa.array(r["base"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], schema=out)
+                crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), many, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(base + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], schema=out)
 
-    bases = spark.createDataFrame(bases, "shard int, block int, base long")
-    return blocks.join(F.broadcast(bases), ["shard", "block"]).select("table", "payload", "doc_ids", "lengths", "base").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blocks.join(bases, ["shard", "block"]).select("payload", "doc_ids", "lengths", "base").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
