@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import html
+import re
 import struct
 import zlib
 from html.parser import HTMLParser
@@ -17,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import documents, fresh_path
+from linkwright.llm.common import checkpoint, documents, fresh_path
 
 BLOCK = 64
 WAV = struct.Struct("<4sI4s4sIHHIIHH4sI")
 RATE = 8000
-SILENT = ("script", "style", "noscript", "template", "head")
+SILENT = ("script", "style", "noscript", "template", "title")
 MEDIA = ("img", "audio", "video", "source")
 PARAGRAPHS = ("p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "br", "tr", "table", "section", "article", "nav", "figure", "figcaption", "blockquote", "pre", "header", "footer", "main", "aside", "body")
 
@@ -55,63 +56,115 @@ def feature(samples: bytes) -> str:
     return f"mean={s.mean(dtype=np.float64):.4f};rms={float(np.sqrt((s * s).mean(dtype=np.float64))):.4f};cross={crossings:.6f};step={step:.4f}"
 
 
+class Figure:
+    """An open figure: its media, the elements that hold its caption's text, and whether a caption was ended by a tag."""
+
+    def __init__(self):
+        self.media: list[dict] = []
+        self.caption: list[dict] = []
+        self.ended = False
+
+    def close(self, outer: Figure | None) -> None:
+        """Gives the caption to the media. A caption without media stays text; media without a caption go to the outer
+        figure; of a caption that nothing ended, the first block counts and the rest stays text."""
+        if not self.caption:
+            if outer:
+                outer.media += self.media
+        elif self.media:
+            own = self.caption if self.ended else self.caption[:1]
+            text = " ".join(e["text"] for e in own)
+            for e in self.media:
+                e["caption"] = text
+            for e in own:
+                e["kind"] = None
+
+
 class PageParser(HTMLParser):
-    """Ordered elements of a page: (kind, text, reference, caption, n_bytes). Text between media is one element for each block;
-    a caption is a figure's figcaption, or else the reference's alt or title."""
+    """Ordered elements of a page. Text between media is one element for each block; a caption is that of the innermost
+    figure that has one, before or after its media, or else the reference's alt or title. Text is left out only in
+    ``SILENT`` elements; a missing ``</head>`` hides nothing, and of elements that aren't void only empty silent ones may
+    end in ``/>``."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.out: list[list] = []
+        self.out: list[dict] = []
         self.buffer: list[str] = []
-        self.hidden = self.figure = self.in_caption = 0
-        self.figures: list[int] = []
-        self.caption: list[str] = []
+        self.silent: list[str] = []
+        self.figures: list[Figure] = []
+        self.captioned: Figure | None = None
 
     def flush(self) -> None:
         if text := " ".join("".join(self.buffer).split()):
-            self.out.append(["text", text, None, None, None])
+            self.out.append({"kind": "text", "text": text, "ref": None, "caption": None, "n_bytes": None})
+            if self.captioned:
+                self.captioned.caption.append(self.out[-1])
         self.buffer = []
 
+    def end_caption(self, ended: bool) -> None:
+        if self.captioned:
+            self.flush()
+            self.captioned.ended |= ended
+            self.captioned = None
+
     def handle_starttag(self, tag, attrs):
+        if self.silent and self.silent[-1] == "title":
+            self.silent.pop()  # it holds no tags: it wasn't closed
         if tag in SILENT:
-            self.hidden += 1
+            self.silent.append(tag)
+        if self.silent:
+            return
         if tag in PARAGRAPHS:
             self.flush()
         if tag == "figure":
-            self.figure += 1
-            self.figures = []
-        elif tag == "figcaption":
-            self.in_caption, self.caption = 1, []
-        elif tag in MEDIA and not self.hidden:
+            self.end_caption(False)
+            self.figures.append(Figure())
+        elif tag == "figcaption" and self.figures:
+            self.end_caption(True)
+            self.captioned = self.figures[-1]
+        elif tag in MEDIA:
             a = dict(attrs)
             if a.get("src"):
                 self.flush()
-                if self.figure:
-                    self.figures.append(len(self.out))
                 n = a.get("data-bytes")
-                self.out.append(["media", None, a["src"], a.get("alt") or a.get("title") or "", int(n) if n and n.isdigit() else None])
+                n = int(n) if n and re.fullmatch("[0-9]{1,18}", n) else None
+                self.out.append({"kind": "media", "text": None, "ref": a["src"], "caption": a.get("alt") or a.get("title") or "", "n_bytes": n})
+                if self.figures:
+                    self.figures[-1].media.append(self.out[-1])
 
-    handle_startendtag = handle_starttag
+    def handle_startendtag(self, tag, attrs):
+        if tag not in SILENT:
+            self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        if tag in SILENT and self.hidden:
-            self.hidden -= 1
+        if tag in self.silent:
+            while self.silent.pop() != tag:
+                pass
+            return
+        if self.silent and tag != "body":
+            return
+        self.silent.clear()
         if tag == "figcaption":
-            text = " ".join("".join(self.caption).split())
-            for i in self.figures:
-                self.out[i][3] = text or self.out[i][3]
-            self.in_caption = 0
-        if tag == "figure" and self.figure:
-            self.figure -= 1
+            self.end_caption(True)
+        if tag == "figure" and self.figures:
+            self.end_caption(True)
+            self.flush()
+            figure = self.figures.pop()
+            figure.close(self.figures[-1] if self.figures else None)
         if tag in PARAGRAPHS:
             self.flush()
 
     def handle_data(self, data):
-        if self.in_caption:
-            self.caption.append(data)
-        elif not self.hidden:
+        if not self.silent:
             self.buffer.append(data)
 
+    def elements(self) -> list[dict]:
+        self.close()
+        self.end_caption(False)
+        self.flush()
+        while self.figures:
+            self.figures.pop().close(self.figures[-1] if self.figures else None)
+        return [e for e in self.out if e["kind"]]
+
 
 def parse_page(page: str | None) -> list[dict]:
     """Elements of a page in order, their position counted from 0; a null or empty page has none."""
@@ -119,9 +172,7 @@ def parse_page(page: str | None) -> list[dict]:
         return []
     p = PageParser()
     p.feed(page)
-    p.close()
-    p.flush()
-    return [{"pos": i, "kind": k, "text": t, "ref": r, "caption": c, "n_bytes": n} for i, (k, t, r, c, n) in enumerate(p.out)]
+    return [{"pos": i, **e} for i, e in enumerate(p.elements())]
 
 
 ELEMENT = pa.struct([("pos", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("ref", pa.string()), ("caption", pa.string()), ("n_bytes", pa.int64())])
@@ -155,8 +206,9 @@ def read_media(store: DataFrame) -> DataFrame:
 
     kinds = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     found = store.where(F.col("media").isNotNull()).select("digest", "media").mapInArrow(run, kinds)
-    # Copies that several tasks stored have equal values: any of them serves.
-    return found.groupBy("digest").agg(*[F.first(n).alias(n) for n in names[1:]])
+    # Copies that several tasks stored have equal values: any of them serves. Stored, so that the join with references,
+    # of which many may share a digest, stands alone and can be split.
+    return checkpoint(found.groupBy("digest").agg(*[F.first(n).alias(n) for n in names[1:]]))
 
 
 def resolve(seq: DataFrame, payloads: DataFrame, id_col: str) -> DataFrame:

@@ -178,3 +178,37 @@ def test_pages_keep_order_positions_and_captions():
     assert media.parse_page(None) == media.parse_page("") == []
     for raw in (b"", b"x" * 64, b"x" * 65):
         assert media.from_media(media.to_media(media.pad(raw))) == media.pad(raw) and len(media.pad(raw)) % 64 == 0 and media.pad(raw)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><meta charset=utf-8><title>x</title><body><p>seen", [("text", "seen")]),
+        ("<head><title>x<body><p>seen</p>", [("text", "seen")]),
+        ('<p>a</p><script src="x"/><p>b</p>', [("text", "a"), ("text", "b")]),
+        ('<figure><figcaption>before</figcaption><img src="u" alt="alt"></figure>tail', [("media", "before"), ("text", "tail")]),
+        ("<figure><figcaption>no media</figcaption></figure><p>b", [("text", "no media"), ("text", "b")]),
+        ('<figure><img src="u"><figcaption>cap<p>rest</p><p>of the page</p>', [("media", "cap"), ("text", "rest"), ("text", "of the page")]),
+        ('<figure><img src="u"><figcaption>open</figure><p>after', [("media", "open"), ("text", "after")]),
+        ('<figure><img src="a"><figure><img src="b"><figcaption>in</figcaption></figure><figcaption>out</figcaption></figure>', [("media", "out"), ("media", "in")]),
+        ('<figure><figure><img src="b"></figure><figcaption>out</figcaption></figure>', [("media", "out")]),
+        ('<img src="u" data-bytes="\u00b2" title="t"><noscript>n</noscript>c', [("media", "t"), ("text", "c")]),
+        ("<figcaption>alone</figcaption> text", [("text", "alone"), ("text", "text")]),
+    ],
+)
+def test_pages_lose_no_text_and_no_caption(page, want):
+    got = media.parse_page(page)
+    assert [(e["kind"], e["caption"] if e["kind"] == "media" else e["text"]) for e in got] == want
+    assert [e["pos"] for e in got] == list(range(len(got)))
+
+
+def test_whole_words_of_any_length_are_features():
+    from linkwright.llm import language_id
+
+    words = ["a", "x" * 40 + "q" + "y" * 40, "z" * 300_000]
+    row, index = language_id.features(words)
+    assert np.bincount(row).tolist() == [2 + 1 + 2 + 1, 82 + 81 + 8 + 1, 300_001 + 300_000 + 8 + 1]
+    alone = [sorted(language_id.features([w])[1].tolist()) for w in words]
+    assert [sorted(index[row == k].tolist()) for k in range(3)] == alone
+    changed = language_id.features(["x" * 40 + "r" + "y" * 40])[1]
+    assert sorted(changed.tolist()) != alone[1]

@@ -4,8 +4,9 @@ import random
 from collections import Counter
 
 import pyarrow.parquet as pq
+import pytest
 
-from linkwright.llm import packing, sharding
+from linkwright.llm import common, packing, sharding, token_files
 from linkwright.llm.common import encoder, tokenizer_path
 
 
@@ -47,3 +48,53 @@ def test_sequences_hold_every_token(spark):
     enc = encoder(tokenizer_path())
     want = {i: [*enc._ids(t or ""), packing.END_ID] for i, t in texts()}
     assert {i: [x for _, part in sorted(v.items()) for x in part] for i, v in back.items()} == want
+
+
+def test_op8_gives_the_same_order_on_any_number_of_partitions(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, t, 5) for i, t in texts()], "doc_id long, text string, size int").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(sharding.two_pass_shuffle, "__defaults__", (17, 20_000))
+    old, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for parts in ("4", "8", "31"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found.append(sorted(map(str, sharding.op8_sharding(spark, str(tmp_path)).collect())))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(texts())
+
+
+def test_plans_of_many_runs_are_joined(spark, monkeypatch):
+    docs = spark.createDataFrame(texts(), "doc_id long, text string").repartition(3)
+    found = packing.pieces(docs, tokenizer_path()).cache()
+    take = lambda: Counter((r["doc_id"], r["piece"], bytes(r["ids"]), r["sequence_id"], r["offset"]) for r in packing.pack(found).collect())
+    whole = take()
+    monkeypatch.setattr(packing, "MAX_RUNS", 0)
+    monkeypatch.setattr(packing, "RANKS", 3)
+    assert take() == whole
+
+
+def test_token_files_stream_blocks(spark, tmp_path):
+    rows = [*texts(), *[(5, "the same row")] * 300]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    enc = encoder(tokenizer_path())
+    lengths = Counter((i, len(enc.encode([t or ""])[0]) + 1) for i, t in rows)
+    for size in (1, 50, 1 << 20):
+        path = f"file://{tmp_path}/{size}"
+        token_files.write_token_files(docs, path, tokenizer_path(), block_ids=size)
+        got = token_files.read_token_files(spark, path).collect()
+        assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == lengths
+        got.sort(key=lambda r: r["start"])
+        assert [r["start"] for r in got] == [sum(r["n_tokens"] for r in got[:i]) for i in range(len(got))]
+        assert [r["doc_id"] or -1 for r in got] == sorted(r["doc_id"] or -1 for r in got)
+        blocks = spark.read.parquet(f"{path}/blocks").collect()
+        assert all(r["ids"] <= size or len(r["doc_ids"]) == 1 for r in blocks) and (size > 50 or len(blocks) > 80)
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        common.shared_dir(Session)
