@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import documents
+from linkwright.llm.common import checkpoint, documents, fresh_path, keyed_rows
 
 WORDS = 5
 CONTAINED = 0.8
-#: Bytes of item texts that are searched at once; a larger benchmark is searched in blocks.
-BLOCK_BYTES = 16 << 20
+#: The bit set of sketches has at most 2^28 bits (32 MB); that many serve four million hashes well, and more at a higher rate of false ones.
+MOST_BITS = 28
+#: Sketch hashes, and rows found, up to these numbers go to the executors by broadcast; more are joined.
+BROADCAST_SKETCHES, BROADCAST_ROWS = 200_000, 200_000
 GAP = re.compile(r"\W+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -63,98 +64,160 @@ class ShingleHasher:
         return h ^ (h >> np.uint64(32))
 
 
-class ContainmentIndex:
-    """Bottom-k MinHash sketches of short items, by size: items of n distinct shingles keep their n - ceil(c n) + 1
-    smallest hashes. A text that holds a share c of an item's shingles holds at least one of those, however long it
-    is, so no item is missed; what shares a sketch value is then verified exactly."""
-
-    TABLE = 20
-
-    def __init__(self, items: list[tuple[int, str | None]], contained: float = CONTAINED, k: int = WORDS):
-        self.k, self.contained, self.hasher = k, contained, ShingleHasher()
-        self.items: list[tuple[int, list[str], int]] = []
-        self.by_hash: dict[int, list[int]] = defaultdict(list)
-        for item_id, text in items:
-            distinct = list(dict.fromkeys(shingles(normal(text), k)))
-            if not distinct:
-                continue
-            need = int(np.ceil(contained * len(distinct) - 1e-9))
-            sketch = np.unique(np.concatenate([self.hasher(s, len(s)) for s in distinct]))[: len(distinct) - need + 1]
-            for h in sketch.tolist():
-                self.by_hash[h].append(len(self.items))
-            self.items.append((item_id, distinct, need))
-        self.keys = np.sort(np.array(list(self.by_hash), dtype=np.uint64))
-        self.table = np.zeros(1 << self.TABLE, dtype=bool)
-        self.table[(self.keys >> np.uint64(64 - self.TABLE)).astype(np.intp)] = True
-
-    def search(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(item, shingles found, shingles) of each item contained in the whole text."""
-        words = normal(text)
-        h = self.hasher(words, self.k)
-        h = h[self.table[(h >> np.uint64(64 - self.TABLE)).astype(np.intp)]]
-        if not len(h) or not len(h := h[np.isin(h, self.keys)]):
-            return []
-        n_words = words.count(" ") + 1
-        padded, out = f" {words} ", []
-        for i in sorted({i for x in set(h.tolist()) for i in self.by_hash[x]}):
-            item_id, distinct, need = self.items[i]
-            if n_words < self.k:
-                found = sum(s == words for s in distinct)
-            else:
-                found = sum(f" {s} " in padded for s in distinct if s.count(" ") + 1 == self.k)
-            if found >= need:
-                out.append((item_id, found, len(distinct)))
-        return out
+def sketch(text: str | None, hasher: ShingleHasher, contained: float = CONTAINED, k: int = WORDS) -> tuple[int, int, np.ndarray]:
+    """(size, need, hashes) of an item: its number of distinct shingles, how many of them a text must hold, and its
+    bottom-k MinHash sketch, the size - need + 1 least hashes. A text that holds ``need`` shingles holds one of these."""
+    distinct = dict.fromkeys(shingles(normal(text), k))
+    if not distinct:
+        return 0, 0, np.empty(0, np.uint64)
+    need = int(np.ceil(contained * len(distinct) - 1e-9))
+    return len(distinct), need, np.unique(np.concatenate([hasher(s, len(s)) for s in distinct]))[: len(distinct) - need + 1]
 
 
-def contained_items(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, words: int = WORDS) -> DataFrame:
-    """(doc_id, item_id, n_found, n_shingles): items with a share ``contained`` or more of their distinct shingles in a document.
+def part_of(size: int) -> int:
+    """Size partition: items of 1, 2-3, 4-7, ... distinct shingles."""
+    return size.bit_length() - 1
+
+
+class Bloom:
+    """A bit set of bounded size that holds every sketch's hashes; it lets others pass at a rate that ``bits`` set."""
+
+    PROBES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+
+    def __init__(self, bits: int, words: np.ndarray | None = None):
+        self.bits = bits
+        self.words = words
+
+    def places(self, h: np.ndarray, probe: int) -> np.ndarray:
+        return (h * self.PROBES[probe]) >> np.uint64(64 - self.bits)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Those of ``h`` that may be in the set."""
+        for probe in range(len(self.PROBES)):
+            if len(h):
+                at = self.places(h, probe)
+                h = h[(self.words[(at >> np.uint64(6)).astype(np.intp)] >> (at & np.uint64(63))) & np.uint64(1) > 0]
+        return h
+
 
-    Items come to the driver and go to all tasks in blocks of at most about 16 MB of text, whatever their number;
-    each block is held against all documents. A text of fewer than five words is one shingle. Null and empty texts
-    hold nothing and are contained in nothing; repeated rows on either side give repeated rows.
+def build_bloom(sketches: DataFrame, n: int) -> Bloom:
+    """The set of all sketches' hashes, or-ed together on the executors; the driver gets at most 2^``MOST_BITS`` bits."""
+    bits = min(MOST_BITS, max(20, (64 * n).bit_length()))
+    bloom = Bloom(bits)
+
+    def run(batches):
+        for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64)
+            at = np.concatenate([bloom.places(h, p) for p in range(len(bloom.PROBES))])
+            bit = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bit)], names=["word", "bit"])
+
+    found = sketches.select("hash").mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bloom.words = np.zeros(1 << (bits - 6), np.uint64)
+    bloom.words[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    return bloom
+
+
+def contained_rows(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, words: int = WORDS) -> DataFrame:
+    """(_key, item_id, n_found, n_shingles): ``docs`` (_key, text) with the items they hold; nothing of a benchmark's size is
+    held by the driver or a task.
+
+    Items are sketched on the executors, in size partitions. Each partition has its own bound, its greatest sketch hash:
+    a text's sketch for the partition is its hashes up to there, if the text has enough shingles for the partition's
+    least item. Texts are read once: hashes within a bound and in a bit set of all sketches go on with their text, few
+    others do. They meet the sketches by hash, under the item's own size, and each pair found is verified exactly.
     """
-    items = items.select(F.col("item_id").cast("long"), "text")
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "n_found", "n_shingles")])
+    spark = docs.sparkSession
+    items = checkpoint(items.select(F.monotonically_increasing_id().alias("iid"), F.col("item_id").cast("long"), "text"))
+
+    def sketched(batches):
+        hasher = ShingleHasher()
+        for batch in batches:
+            for iid, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                size, need, h = sketch(text, hasher, contained, words)
+                if size:
+                    n = len(h)
+                    cols = [pa.array(h.view(np.int64)), pa.array([part_of(size)] * n, pa.int32()), pa.array([iid] * n, pa.int64()), pa.array([need] * n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(cols, names=["hash", "part", "iid", "need"])
+
+    sketches = checkpoint(items.select("iid", "text").mapInArrow(sketched, "hash long, part int, iid long, need long"))
+    # One row for each partition; hashes are unsigned, which a flipped sign bit puts in order.
+    flipped = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
+    stats = sketches.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max(flipped).alias("top"), F.min("need").alias("need")).collect()
+    n = sum(r["n"] for r in stats)
+    bounds = [(r["need"], np.uint64(r["top"] + (1 << 63))) for r in stats]
+    bloom = spark.sparkContext.broadcast(build_bloom(sketches, n))
+    survivor = pa.schema([("_key", pa.string()), ("text", pa.string()), ("m", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+    def scan(batches):
+        hasher = ShingleHasher()
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h = hasher(normal(text), words)
+                m = len(h)
+                if len(h := bloom.value.holds(h)):
+                    top = max((bound for need, bound in bounds if need <= m), default=None)
+                    if top is not None and len(h := np.unique(h[h <= top])):
+                        rows.append((key, text, m, h.view(np.int64).tolist()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), survivor, strict=True)], schema=survivor)
+
+    path = fresh_path(spark, "survivors")
+    docs.select("_key", "text").mapInArrow(scan, "_key string, text string, m long, hashes array<long>").write.option("compression", "zstd").parquet(path)
+    found = spark.read.schema("_key string, text string, m long, hashes array<long>").parquet(path)
+    small = (lambda df: F.broadcast(df)) if n <= BROADCAST_SKETCHES else (lambda df: df)
+    pairs = found.select("_key", "m", F.explode("hashes").alias("hash")).join(small(sketches), "hash").where("m >= need").select("_key", "iid").distinct()
+    pairs = pairs.join(small(items.select("iid", "item_id", F.col("text").alias("item"))), "iid").join(found.select("_key", "text"), "_key")
+    out = pa.schema([("_key", pa.string()), ("item_id", pa.int64()), ("n_found", pa.int64()), ("n_shingles", pa.int64())])
+
+    def verify(batches):
+        last, text_words, padded, known = None, "", "", {}
+        for batch in batches:
+            rows = []
+            for key, item_id, item, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != last:
+                    last, text_words = key, normal(text)
+                    padded = f" {text_words} "
+                if item not in known:
+                    if len(known) > 10_000:
+                        known.clear()
+                    known[item] = list(dict.fromkeys(shingles(normal(item), words)))
+                distinct = known[item]
+                if text_words.count(" ") + 1 < words:
+                    held = sum(s == text_words for s in distinct)
+                else:
+                    held = sum(f" {s} " in padded for s in distinct if s.count(" ") + 1 == words)
+                if held >= int(np.ceil(contained * len(distinct) - 1e-9)):
+                    rows.append((key, item_id, held, len(distinct)))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+
+    return pairs.select("_key", "item_id", "item", "text").mapInArrow(verify, "_key string, item_id long, n_found long, n_shingles long")
 
-    def found(block):
-        rows = [(r[0], r[1]) for r in block.collect()]
 
-        def run(batches):
-            index = ContainmentIndex(rows, contained, words)
-            for batch in batches:
-                out = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for hit in index.search(t)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+def contained_items(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, words: int = WORDS) -> DataFrame:
+    """(doc_id, item_id, n_found, n_shingles): items with a share ``contained`` or more of their distinct shingles in a document.
+
+    A text of fewer than five words is one shingle, so such an item is found only in a text that is as short. Null and
+    empty texts hold nothing and are contained in nothing; repeated rows on either side give repeated rows.
+    """
+    rows = keyed_rows(docs)
+    found = contained_rows(rows.select("_key", F.col("_row.text").alias("text")), items, contained, words)
+    return _few(rows.select("_key", F.col("_row.doc_id").cast("long").alias("doc_id")), found).select("doc_id", "item_id", "n_found", "n_shingles")
 
-        return docs.mapInArrow(run, "doc_id long, item_id long, n_found long, n_shingles long")
 
-    out = None
-    for b in range(blocks):
-        part = found(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items)
-        out = part if out is None else out.union(part)
-    return out
+def _few(rows: DataFrame, found: DataFrame, how: str = "inner") -> DataFrame:
+    """``rows`` joined with what was found in a few of them, which is broadcast if it is small."""
+    found = checkpoint(found)
+    return rows.join(F.broadcast(found) if found.count() <= BROADCAST_ROWS else found, "_key", how)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, contained: float = CONTAINED, words: int = WORDS) -> DataFrame:
-    """``docs`` without the rows that contain an item, under the rules of ``contained_items``; no shuffle."""
-    items = items.select(F.col("item_id").cast("long"), "text")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    at, schema = docs.columns.index("text"), docs.schema
-    for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-
-        def run(batches, rows=[(r[0], r[1]) for r in block.collect()]):  # noqa: B006
-            index = ContainmentIndex(rows, contained, words)
-            for batch in batches:
-                yield batch.filter(pa.array([not index.search(t) for t in batch.column(at).to_pylist()], pa.bool_()))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    """``docs`` without the rows that contain an item, under the rules of ``contained_items``."""
+    rows = keyed_rows(docs)
+    found = contained_rows(rows.select("_key", F.col("_row.text").alias("text")), items, contained, words).select("_key").distinct()
+    return _few(rows, found, "left_anti").select("_row.*")
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,27 +89,44 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
+def within(n: int, both: np.ndarray, group: list[int], radius: int) -> np.ndarray:
+    """Share of pairs that differ in at most 0, 1 ... ``radius`` bits of a group, from how often bits are 1 together.
+
+    Two fingerprints differ in bits b and c with a probability that the four joint shares give, so mean and variance of
+    the number of differing bits are known with the group's correlations; a beta-binomial law with both gives the tail.
+    """
+    m = len(group)
+    p11 = both[np.ix_(group, group)] / max(n, 1)
+    p = np.diag(p11)
+    p10, p01 = p[:, None] - p11, p[None, :] - p11
+    p00 = 1 - p11 - p10 - p01
+    each = 2 * p * (1 - p)
+    mean = float(each.sum())
+    joint = 2 * (p11 * p00 + p10 * p01)
+    np.fill_diagonal(joint, each)
+    share = min(max(mean / m, 1e-9), 1 - 1e-9)
+    spread = (float(joint.sum()) - mean * mean) / (m * share * (1 - share))
+    rho = min(max((spread - 1) / max(m - 1, 1), 1e-6), 1 - 1e-6)
+    al, be = share * (1 / rho - 1), (1 - share) * (1 / rho - 1)
+    log_beta = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    law = [math.comb(m, k) * math.exp(log_beta(k + al, m - k + be) - log_beta(al, be)) if k <= m else 0.0 for k in range(radius + 1)]
+    return np.minimum(np.cumsum(law), 1.0)
+
+
 def allocate(n: int, both: np.ndarray, groups: list[list[int]], radius: int) -> tuple[float, list[int]]:
     """Estimated cost and thresholds (-1: not probed) that sum to radius - parts + 1, by dynamic programming.
 
-    A group's candidates at threshold t are estimated as the pairs that differ in at most t of its bits, from the
-    share of ones of each bit over all fingerprints; each probed key counts as four candidates.
+    A group's candidates at threshold t are estimated as the pairs that differ in at most t of its bits (``within``);
+    each probed key counts as four candidates.
     """
-    p = np.diag(both) / max(n, 1)
-    differ = 2 * p * (1 - p)
     best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
     for group in groups:
-        dist = np.zeros(radius + 1)
-        dist[0] = 1
-        for b in group:
-            dist[1:] = dist[1:] * (1 - differ[b]) + dist[:-1] * differ[b]
-            dist[0] *= 1 - differ[b]
-        within = np.cumsum(dist)
+        close = within(n, both, group, radius)
         nxt: dict[int, tuple[float, list[int]]] = {}
         for total, (cost, ts) in best.items():
             for t in range(-1, radius + 1):
                 probes = sum(math.comb(len(group), i) for i in range(t + 1))
-                c = cost + n * n * float(within[t]) * (t >= 0) + 4.0 * n * probes
+                c = cost + n * n * float(close[t]) * (t >= 0) + 4.0 * n * probes
                 if c < nxt.get(total + t, (math.inf, []))[0]:
                     nxt[total + t] = (c, [*ts, t])
         best = nxt
@@ -140,19 +157,13 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _agree(sigs: np.ndarray | None, at, other) -> np.ndarray | bool:
-    """Whether signatures differ in few enough bits; True where there are none."""
-    return True if sigs is None else np.bitwise_count(sigs[at] ^ sigs[other]) <= SIGNATURE_RADIUS
-
-
-def _forest(fps: np.ndarray, own: np.ndarray, radius: int, ids: np.ndarray | None = None, sigs: np.ndarray | None = None) -> list[tuple[int, int]]:
+def _forest(fps: np.ndarray, own: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Edges that join what links of at most ``radius`` bits between an owner and any other join in one bucket.
 
     Owners are compared with owners not reached yet and with all others; of links inside what is joined already,
     none is given.
     """
     bits = fps.view(np.uint64)  # counts of signed numbers are those of their absolute value
-    ids = fps if ids is None else ids
     todo, others = np.flatnonzero(own), np.flatnonzero(~own)
     group = np.full(len(fps), -1)
     edges, k = [], 0
@@ -160,74 +171,78 @@ def _forest(fps: np.ndarray, own: np.ndarray, radius: int, ids: np.ndarray | Non
         queue, todo, k = [int(todo[0])], todo[1:], k + 1
         while queue:
             i = queue.pop()
-            near = (np.bitwise_count(bits[todo] ^ bits[i]) <= radius) & _agree(sigs, todo, i)
+            near = np.bitwise_count(bits[todo] ^ bits[i]) <= radius
             if near.any():
                 hit = todo[near]
-                edges += [(ids[i], ids[j]) for j in hit]
+                edges += [(fps[i], fps[j]) for j in hit]
                 queue += hit.tolist()
                 todo = todo[~near]
-            for j in others[(np.bitwise_count(bits[others] ^ bits[i]) <= radius) & _agree(sigs, others, i) & (group[others] != k)].tolist():
+            for j in others[(np.bitwise_count(bits[others] ^ bits[i]) <= radius) & (group[others] != k)].tolist():
                 if group[j] != k:
-                    edges.append((ids[i], ids[j]))
+                    edges.append((fps[i], fps[j]))
                     if group[j] >= 0:
                         group[group == group[j]] = k
                     group[j] = k
     return edges
 
 
+def _hot_keys(nodes: DataFrame, probe_plan: list, block: int) -> DataFrame:
+    """(g, key, so, sp): keys with over one block of owners or probers, and how many blocks these make.
+
+    Probers of a key own its neighbours. Only neighbours with enough owners to matter are spread; all others of a key
+    have a quarter of a block at most.
+    """
+    owners = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(_signed(m)).alias("m")) for g, (m, _) in enumerate(probe_plan)])
+    owned = nodes.select("fp", F.explode(owners).alias("x")).groupBy(F.col("x.g").alias("g"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    heavy, flips = F.lit(False), F.array().cast("array<bigint>")
+    for g, (_, fs) in enumerate(probe_plan):
+        heavy = heavy | ((F.col("g") == g) & (F.col("n") * 4 * len(fs) > block))
+        flips = F.when(F.col("g") == g, F.array(*[F.lit(_signed(f)) for f in fs if f]).cast("array<bigint>")).otherwise(flips)
+    owned = checkpoint(owned.where(heavy))
+    probed = owned.select("g", F.explode(flips).alias("f"), "key", "n").groupBy("g", F.col("key").bitwiseXOR(F.col("f")).alias("key")).agg(F.sum("n").alias("p"))
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.coalesce(F.col(c), F.lit(0)) / block)).cast("int")
+    return checkpoint(owned.join(probed, ["g", "key"], "full").select("g", "key", blocks("n").alias("so"), blocks("p").alias("sp")).where("so > 1 OR sp > 1"))
+
+
 def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan: list | None = None, most_parts: int | None = None) -> DataFrame:
     """Verified edges (a, b) between distinct fingerprints in ``nodes.fp``: the closure is that of all links.
 
     Each fingerprint owns one key in each group of bits and probes the keys within the group's threshold. Buckets
-    stream through sorted tasks; a bucket gives links, or for more than 32 members a spanning forest of its links.
-    Buckets of over ``block`` owners are dealt over pairs of blocks, so no task holds more than two blocks' rows
-    of one, and nothing is left out. With columns ``id`` (long) and ``sig`` in ``nodes``, edges are between ids, and
-    signatures must agree too, so that chance links don't stand for true ones in a forest.
+    stream through sorted tasks; a bucket gives links, or for more than 32 members a spanning forest of its links,
+    which joins what they join. Where a key has over ``block`` owners or probers, owners' blocks are dealt over pairs of
+    each other and over the probers' blocks: a task holds about two blocks of a bucket, and nothing is left out.
     """
-    extra = [c for c in ("id", "sig") if c in nodes.columns]
     if probe_plan is None:
         n, both = bit_statistics(nodes)
         if n < 2:
             return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
         probe_plan = plan(n, both, radius, most_parts)
-    spark = nodes.sparkSession
-    probes = spark.createDataFrame([(g, _signed(m), _signed(f)) for g, (m, flips) in enumerate(probe_plan) for f in flips], "g int, m long, f long")
-    owners = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(_signed(m)).alias("m")) for g, (m, _) in enumerate(probe_plan)])
-    owned = nodes.select("fp", F.explode(owners).alias("x")).groupBy(F.col("x.g").alias("g"), F.col("fp").bitwiseAND(F.col("x.m")).alias("key")).count()
-    hot = checkpoint(owned.where(F.col("count") > block).select("g", "key", F.ceil(F.col("count") / block).cast("int").alias("s")))
-    flips = F.array(*[F.struct(F.lit(r.g).alias("g"), F.lit(r.m).alias("m"), F.lit(r.f).alias("f")) for r in probes.collect()])
-    rows = nodes.select("fp", *extra, F.explode(flips).alias("x")).select("fp", *extra, "x.g", F.col("fp").bitwiseAND(F.col("x.m")).bitwiseXOR(F.col("x.f")).alias("key"), (F.col("x.f") == 0).alias("own"))
-    rows = rows.join(F.broadcast(hot) if hot.count() <= HOT_KEYS else hot, ["g", "key"], "left")
-    mine, other = F.pmod(F.xxhash64("fp"), F.col("s")), F.col("o")
-    rows = rows.select("g", "key", "fp", *extra, "own", "s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("s"), F.lit(1)) - 1)).alias("o"))
-    salt = F.when(F.col("s").isNull(), F.lit(0).cast("long")).otherwise(F.least(mine, other) * F.col("s") + F.greatest(mine, other))
-    rows = rows.select("g", "key", salt.alias("salt"), "fp", *extra, "own")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    flips = F.array(*[F.struct(F.lit(g).alias("g"), F.lit(_signed(m)).alias("m"), F.lit(_signed(f)).alias("f")) for g, (m, fs) in enumerate(probe_plan) for f in fs])
+    hot = _hot_keys(nodes, probe_plan, block)
+    n_hot = hot.count()
+    rows = nodes.select("fp", F.explode(flips).alias("x")).select("fp", "x.g", F.col("fp").bitwiseAND(F.col("x.m")).bitwiseXOR(F.col("x.f")).alias("key"), (F.col("x.f") == 0).alias("own"))
+    if n_hot:
+        so, sp, h = F.col("so"), F.col("sp"), F.xxhash64("fp")
+        mine, base = F.pmod(h, F.when(F.col("own"), so).otherwise(sp)), F.when(so > 1, so * so).otherwise(F.lit(0))
+        upto = lambda n: F.sequence(F.lit(0), n - 1)
+        with_probers = F.transform(upto(sp), lambda j: base + mine * sp + j)
+        with_owners = F.when(so > 1, F.transform(upto(so), lambda o: F.least(mine, o) * so + F.greatest(mine, o))).otherwise(F.array().cast("array<bigint>"))
+        probing = F.transform(upto(so), lambda i: base + i * sp + mine)
+        salts = F.when(so.isNull(), F.array(F.lit(0).cast("long"))).when(F.col("own"), F.concat(with_owners, with_probers)).otherwise(probing)
+        rows = rows.join(F.broadcast(hot) if n_hot <= HOT_KEYS else hot, ["g", "key"], "left").select("g", "key", F.explode(salts).alias("salt"), "fp", "own")
+    else:
+        rows = rows.select("g", "key", F.lit(0).cast("long").alias("salt"), "fp", "own")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # sorted to the last column: a task run again after a loss must give the same forest, as others may hold half of it
-    rows = rows.repartition(parts, "g", "key", "salt").sortWithinPartitions("g", "key", "salt", "fp", *extra[::-1])
+    rows = rows.repartition(parts, "g", "key", "salt").sortWithinPartitions("g", "key", "salt", "fp")
 
-    def run(batches):
-        held = None
-        for pdf in batches:
-            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            k = held[["g", "key", "salt"]].to_numpy(np.int64)
-            new = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            if len(new):
-                cut = int(new[-1])
-                yield found(held.iloc[:cut], np.r_[0, new[:-1]], cut)
-                held = held.iloc[cut:].reset_index(drop=True)
-        if held is not None and len(held):
-            yield found(held, np.array([0]) if not len(held) else np.r_[0, np.flatnonzero((held[["g", "key", "salt"]].to_numpy(np.int64)[1:] != held[["g", "key", "salt"]].to_numpy(np.int64)[:-1]).any(axis=1)) + 1], len(held))
-
-    def found(pdf, starts, n):
+    def found(pdf, starts, ends):
         fps, own = pdf["fp"].to_numpy(np.int64), pdf["own"].to_numpy(bool)
         bits = fps.view(np.uint64)
-        ids, sigs = (pdf["id"].to_numpy(np.int64), pdf["sig"].to_numpy(np.int64).view(np.uint64)) if extra else (fps, None)
-        ends = np.r_[starts[1:], n]
         size = ends - starts
         edges = [np.empty((0, 2), np.int64)]
         for s, e in zip(starts[size > 32].tolist(), ends[size > 32].tolist(), strict=True):
-            if len(f := _forest(fps[s:e], own[s:e], radius, ids[s:e], None if sigs is None else sigs[s:e])):
+            if len(f := _forest(fps[s:e], own[s:e], radius)):
                 edges.append(np.array(f, dtype=np.int64))
         end = np.repeat(ends, size)
         idx = np.flatnonzero(np.repeat(size <= 32, size) & (np.repeat(size, size) > 1))
@@ -235,14 +250,14 @@ def link(nodes: DataFrame, radius: int = RADIUS, block: int = BLOCK, probe_plan:
             idx = idx[idx + d < end[idx]]
             if not len(idx):
                 break
-            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(bits[idx] ^ bits[idx + d]) <= radius) & _agree(sigs, idx, idx + d)]
+            ok = idx[(own[idx] | own[idx + d]) & (np.bitwise_count(bits[idx] ^ bits[idx + d]) <= radius)]
             if len(ok):
-                edges.append(np.column_stack([ids[ok], ids[ok + d]]))
+                edges.append(np.column_stack([fps[ok], fps[ok + d]]))
         e = np.concatenate(edges)
         e = np.unique(np.sort(e[e[:, 0] != e[:, 1]], axis=1), axis=0)
         return pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
 
-    return rows.mapInPandas(run, "a long, b long").distinct()
+    return rows.mapInPandas(lambda batches: _bucketed(batches, ["g", "key", "salt"], found), "a long, b long").distinct()
 
 
 def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None = None) -> DataFrame:
@@ -256,13 +271,11 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None
     roots = components(link(nodes, radius, most_parts=most_parts))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     rooted = checkpoint(rooted)
-    low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    # Stored, so that the join with a root that many share stands alone and can be split.
+    low = checkpoint(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
     return prints.join(rooted.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-#: Bits in which signatures of 64 bits may differ: about 6 do at a similarity of 0.8, about 32 by chance.
-SIGNATURE_RADIUS = 16
-
 #: Near copies are texts whose sets of five-word shingles have a Jaccard similarity of at least 4/5.
 FILTER_WORDS = 5
 #: Buckets of up to this many sets give pairs; larger ones are joined inside a task that holds the sets.

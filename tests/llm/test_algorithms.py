@@ -125,19 +125,28 @@ def test_threshold_allocation_covers_the_radius():
             assert any((d & mask) in set(keys) for mask, keys in probes)
 
 
-def test_containment_is_exact():
+@pytest.mark.parametrize(("bits", "broadcast"), [(dc.MOST_BITS, dc.BROADCAST_ROWS), (7, 0)])
+def test_containment_is_exact(spark, monkeypatch, bits, broadcast):
+    """Whatever the bit set lets pass and however rows meet, the pairs are those of all shingles."""
+    monkeypatch.setattr(dc, "MOST_BITS", bits)
+    monkeypatch.setattr(dc, "BROADCAST_SKETCHES", broadcast)
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", broadcast)
     r = random.Random(7)
     word = lambda: r.choice("alpha beta gamma delta eps zeta eta theta iota kappa".split()) + str(r.randint(0, 9))
-    items = [(i, " ".join(word() for _ in range(r.randint(0, 30)))) for i in range(60)] + [(99, None)]
-    docs = [None, "", "one two", *[" ".join(word() for _ in range(r.randint(0, 200))) + " " + items[r.randrange(60)][1][: r.randint(0, 200)].upper() for _ in range(80)]]
-    index = dc.ContainmentIndex(items)
-    for d in docs:
-        have, want = set(dc.shingles(dc.normal(d))), []
+    items = [(i, " ".join(word() for _ in range(r.randint(0, 30)))) for i in range(60)] + [(99, None), (99, ""), (7, "one two")]
+    docs = [None, "", "one two", "One, TWO!", *[" ".join(word() for _ in range(r.randint(0, 200))) + " " + items[r.randrange(60)][1][: r.randint(0, 200)].upper() for _ in range(80)]]
+    docs += docs[10:12]
+    want = []
+    for k, d in enumerate(docs):
+        have = set(dc.shingles(dc.normal(d)))
         for i, t in items:
             s = set(dc.shingles(dc.normal(t)))
             if s and len(s & have) >= np.ceil(0.8 * len(s) - 1e-9):
-                want.append((i, len(s & have), len(s)))
-        assert sorted(index.search(d)) == sorted(want)
+                want.append((k, i, len(s & have), len(s)))
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    assert sorted(tuple(x) for x in dc.contained_items(table, bench).collect()) == sorted(want) and len(want) > 20
+    assert {x["doc_id"] for x in dc.drop_contaminated(table, bench).collect()} == set(range(len(docs))) - {w[0] for w in want}
 
 
 def test_forward_backward_is_exact():

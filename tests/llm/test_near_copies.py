@@ -3,9 +3,11 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from linkwright.llm import simhash
+from linkwright.llm.graph import components
 
 
 def shingle_sets(texts):
@@ -84,3 +86,34 @@ def test_forest_joins_what_all_pairs_join():
         lo, hi = sorted((label[a], label[b]))
         label = [lo if x == hi else x for x in label]
     assert label == groups(sets)
+
+
+@pytest.mark.parametrize("block", [4, 64])
+def test_probers_of_a_hot_neighbour_are_split(spark, monkeypatch, block):
+    """One key with 600 owners, and keys beside it that those probe and a few own."""
+    r = np.random.default_rng(2)
+    low = r.integers(0, 1 << 40, 600, dtype=np.uint64)
+    hot = low | np.uint64(0xABCDEF << 40)
+    beside = [x ^ np.uint64(1 << b) ^ np.uint64(1 << c) for b, c in [(41, 3), (63, 60), (50, 0)] for x in hot[:5]]
+    fps = np.unique(np.concatenate([hot, np.array(beside, np.uint64), hot[:40] ^ np.uint64(5)]))
+    nodes = spark.createDataFrame(pd.DataFrame({"fp": fps.view(np.int64)}))
+    pairs = [(1 << b) | (1 << c) for b in range(40, 64) for c in range(40, b)]
+    plan = [(0xFFFFFF << 40, [0, *[1 << b for b in range(40, 64)], *pairs]), (0xFFFFF, [0]), (0xFFFFF << 20, [0])]
+    edges = simhash.link(nodes, 4, block, plan)
+    roots = {x["node"]: x["root"] for x in components(edges).collect()}
+    got = {}
+    for f in fps.view(np.int64).tolist():
+        got.setdefault(roots.get(f, f), set()).add(f)
+    d = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    label = np.arange(len(fps))
+    while True:
+        new = np.array([label[row].min() for row in d])
+        if (new == label).all():
+            break
+        label = new
+    want = {}
+    for f, k in zip(fps.view(np.int64).tolist(), label.tolist(), strict=True):
+        want.setdefault(k, set()).add(f)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    sizes = simhash._hot_keys(nodes, plan, block).collect()
+    assert any(x["so"] == 1 and x["sp"] >= 600 // block for x in sizes) and any(x["so"] > 1 for x in sizes)
