@@ -183,7 +183,7 @@ class WordTagger:
         return cls(labels, weights, t, lexicon)
 
     def _ids(self, docs: list[list[str]]) -> list[np.ndarray]:
-        if len(self.rows) > 150_000:
+        if len(self.rows) > 400_000:
             self.rows, self.scores = {}, self.scores[:0]
         rows = self.rows
         new = list({w for words in docs for w in words if w not in rows})
