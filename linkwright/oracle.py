@@ -213,7 +213,37 @@ def lists(e):
     return f"{accepted(e)} SELECT e.id AS s1, coalesce(string_agg(acc.id, ',' ORDER BY acc.id), '') AS ids FROM e LEFT JOIN acc ON acc.s1 = e.id WHERE e.src = 1 GROUP BY e.id"
 
 
-def feature_sql():
+def jaro_cte(pairs):
+    """CTEs ``jp`` (a, b) and ``jw`` (a, b, v): similarity of each distinct pair, its letters matched one by one from the left."""
+    free = "list_filter(range(greatest(0, i - w), least(length(b), i + w + 1)), lambda j: substr(b, (j + 1)::INT, 1) = substr(a, i + 1, 1) AND NOT list_contains(used, j))[1]"
+    prefix = "CASE WHEN substr(a, 1, 1) <> substr(b, 1, 1) THEN 0 WHEN substr(a, 2, 1) <> substr(b, 2, 1) OR least(length(a), length(b)) < 2 THEN 1 WHEN substr(a, 3, 1) <> substr(b, 3, 1) OR least(length(a), length(b)) < 3 THEN 2 WHEN substr(a, 4, 1) <> substr(b, 4, 1) OR least(length(a), length(b)) < 4 THEN 3 ELSE 4 END"
+    return f"""jp AS MATERIALIZED (SELECT DISTINCT a, b FROM ({pairs})),
+jg AS (SELECT a, b, 0 AS i, []::BIGINT[] AS used, '' AS l FROM jp WHERE a <> '' AND b <> '' AND a <> b
+UNION ALL SELECT a, b, i + 1, CASE WHEN j IS NULL THEN used ELSE list_append(used, j) END, CASE WHEN j IS NULL THEN l ELSE l || substr(a, i + 1, 1) END FROM (SELECT *, {free} AS j FROM (SELECT *, greatest(greatest(length(a), length(b)) // 2 - 1, 0) AS w FROM jg WHERE i < length(a)))),
+jm AS (SELECT a, b, length(l)::DOUBLE AS m, l, list_sort(used) AS u FROM jg WHERE i = length(a)),
+jt AS (SELECT a, b, m, len(list_filter(range(1, m::INT + 1), lambda k: substr(l, k::INT, 1) <> substr(b, (u[k] + 1)::INT, 1))) / 2.0 AS t FROM jm),
+js AS (SELECT a, b, CASE WHEN m = 0 THEN 0.0 ELSE (m / length(a) + m / length(b) + (m - t) / m) / 3.0 END AS sim, m, {prefix} AS pre FROM jt),
+jw AS (SELECT a, b, CASE WHEN m = 0 THEN 0.0 ELSE least(1.0, sim + 0.1 * pre * (1.0 - sim)) END AS v FROM js UNION ALL SELECT a, b, CASE WHEN a <> '' AND a = b THEN 1.0 ELSE 0.0 END FROM jp WHERE a = '' OR b = '' OR a = b)"""
+
+
+def jaro_sql(a, b):
+    return f"{recursive(PAIRS)}, {jaro_cte(f'SELECT {a} AS a, {b} AS b FROM p')} SELECT s1, id, round(v, 6) AS value FROM p JOIN jw ON jw.a = {a} AND jw.b = {b}"
+
+
+def recursive(ctes):
+    return "WITH RECURSIVE" + ctes.lstrip().removeprefix("WITH")
+
+
+def all_feature_sql():
+    """The 30 features and both Jaro-Winkler columns."""
+    base = feature_sql(", sn, cn, sa, ca")
+    cut = base.rindex(" FROM x")
+    head, last = base[:cut].rsplit("SELECT s1, id, ", 1)
+    both = jaro_cte("SELECT sn AS a, cn AS b FROM p UNION ALL SELECT sa, ca FROM p")
+    return f"{recursive(head.rstrip())}, {both}, f AS (SELECT s1, id, {last} FROM x) SELECT f.* EXCLUDE (sn, cn, sa, ca), round(n.v, 6) AS name_jaro, round(d.v, 6) AS addr_jaro FROM f JOIN jw n ON n.a = sn AND n.b = cn JOIN jw d ON d.a = sa AND d.b = ca"
+
+
+def feature_sql(more=""):
     T = {"sn": words("sn"), "cn": words("cn"), "sa": words("sa"), "ca": words("ca")}
     q = f"""{PAIRS}, w AS (SELECT *, list_distinct({T['sn']}) AS nt1, list_distinct({T['cn']}) AS nt2, list_distinct({T['sa']}) AS at1, list_distinct({T['ca']}) AS at2, {T['sn']} AS w1, {T['cn']} AS w2,
 {grams('sn')} AS g1, {grams('cn')} AS g2, {grams('sa')} AS h1, {grams('ca')} AS h2, {sorted_words('sn')} AS ns1, {sorted_words('cn')} AS ns2, {sorted_words('sa')} AS as1, {sorted_words('ca')} AS as2,
@@ -230,7 +260,7 @@ x AS (SELECT *, len(list_intersect(nt1, nt2)) AS o, len(list_intersect(at1, at2)
         "postal_match": flag("z1 <> '' AND z1 = z2"), "postal_conflict": flag("z1 <> '' AND z2 <> '' AND z1 <> z2 AND (l1 = '' OR l2 = '' OR l1 = l2)"), "domain_match": flag("d1 <> '' AND d1 = d2"), "domain_conflict": flag("d1 <> '' AND d2 <> '' AND d1 <> d2"),
         "country_match": flag("l1 <> '' AND l1 = l2"), "is_s2": flag("c_src = 2"),
     }
-    return f"{q} SELECT s1, id, " + ", ".join(f"round(({f[n]})::DOUBLE, 6) AS {n}" for n in NAMES if n in f) + " FROM x"
+    return f"{q} SELECT s1, id, " + ", ".join(f"round(({f[n]})::DOUBLE, 6) AS {n}" for n in NAMES if n in f) + f"{more} FROM x"
 
 
 def entity_f(tp="tp", fp="fp", gt="gt"):
@@ -331,9 +361,9 @@ SELECT s1, id, score, row_number() OVER (PARTITION BY s1 ORDER BY score DESC, sr
         "bl12_key_candidates": f"{key_pairs(E2)} SELECT s1, src, id FROM cand",
         "bl13_country_filter": f"{PAIRS} SELECT s1, id FROM p WHERE {land('s_country')} = '' OR {land('c_country')} = '' OR {land('s_country')} = {land('c_country')}",
         "bl14_labels": f"{chain(P1)} SELECT s1, pool.id, (a.k = b.k)::INT AS label FROM pool JOIN e a ON a.id = s1 JOIN e b ON b.id = pool.id",
-        "bl15_truth_of_chunk": f"{e2} SELECT a.id AS s1, b.id FROM e a JOIN e b ON a.k = b.k WHERE a.src = 1 AND b.src > 1 AND a.k % 3 = 0",
+        "bl15_truth_of_chunk": f"{e2} SELECT a.id AS s1, b.id FROM e a JOIN e b ON a.k = b.k WHERE a.src = 1 AND b.src > 1 AND a.id IN (SELECT id FROM e WHERE src = 1 QUALIFY row_number() OVER (ORDER BY id DESC) > 50)",
         "bl16_holdout": f"{e2} SELECT id FROM e WHERE src = 1 QUALIFY row_number() OVER (ORDER BY id DESC) > 50",
-        "bl17_complete": f"""WITH {parsed('matching', 'm')}, {parsed('candidate', 'c')}, req AS (SELECT 'S1-' || p_partkey AS id FROM part), ml AS (SELECT s1, arg_max(ids, line_no) AS ids FROM m GROUP BY s1), cl AS (SELECT s1, arg_max(ids, line_no) AS ids FROM c WHERE s1 NOT LIKE '%3' GROUP BY s1)
+        "bl17_complete": f"""WITH {parsed('matching', 'm')}, {parsed('candidate', 'c')}, req AS (SELECT 'S1-' || p_partkey AS id FROM part), ml AS (SELECT s1, arg_max(ids, line_no) AS ids FROM m GROUP BY s1), cl AS (SELECT s1, arg_max(ids, line_no) AS ids FROM c GROUP BY s1)
 SELECT req.id AS s1, array_to_string(coalesce(ml.ids, []), ',') AS matched, {joined("list_distinct(list_concat(coalesce(cl.ids, ml.ids, []), coalesce(ml.ids, [])))")} AS candidates FROM req LEFT JOIN ml ON ml.s1 = req.id LEFT JOIN cl ON cl.s1 = req.id""",
         "sm1_jaccard": pair(jac(f"list_distinct({words('sn')})", f"list_distinct({words('cn')})")),
         "sm2_string_ratio": pair(ratio2("sn", "cn")),
@@ -343,6 +373,9 @@ SELECT req.id AS s1, array_to_string(coalesce(ml.ids, []), ',') AS matched, {joi
         "sm7_rule_accepts": f"{accepted(E2)} SELECT s1, id FROM acc",
         "sm8_f_beta": f"{SCORED} SELECT s1, id, round({fbeta('prob', '1 - prob')}, 6) AS value FROM scored",
         "f30_pair_features": feature_sql(),
+        "f32_pair_features": all_feature_sql(),
+        "sm4_jaro_winkler": jaro_sql("sn", "cn"),
+        "ag15_confusion_matrix": f"{SCORED} SELECT label AS actual, count(*) FILTER (prob < {THRESHOLD}) AS predicted_no, count(*) FILTER (prob >= {THRESHOLD}) AS predicted_yes, round(count(*) FILTER (prob < {THRESHOLD}) / count(*), 6) AS rate_no, round(count(*) FILTER (prob >= {THRESHOLD}) / count(*), 6) AS rate_yes FROM scored GROUP BY label",
         "solver_rules": lists(E2),
         "solver_rules_documents": lists(E1),
         "ml5_blend": f"{VOTES} SELECT s1, id, round(p, 6) AS p FROM v",
@@ -365,7 +398,7 @@ SELECT round(threshold, 6) AS threshold, round(avg({entity_f()}), 6) AS macro_f0
         "ag14_report": f"""{CURVE}, b AS (SELECT {BEST} AS threshold), n AS (SELECT b.threshold, count(*) FILTER (prob >= b.threshold AND label = 1) AS tp, count(*) FILTER (prob >= b.threshold AND label = 0) AS fp, count(*) FILTER (prob < b.threshold AND label = 1) AS fn, count(*) FILTER (prob < b.threshold AND label = 0) AS tn FROM b CROSS JOIN scored GROUP BY b.threshold),
 q AS (SELECT *, {pr} AS p, {rc} AS r FROM n) SELECT tp, fp, fn, tn, round(p, 6) AS cand_prec, round(r, 6) AS cand_rec, round({fbeta('p', 'r')}, 6) AS cand_f05, round((SELECT sum(label) FROM scored) / (SELECT count(*) FROM gt) * 100.0, 6) AS blocking_recall, round((SELECT macro_f05 FROM curve WHERE curve.threshold = q.threshold), 6) AS macro_f05, round(threshold, 6) AS threshold FROM q""",
         "so1_intersect": f"{index(P1)} SELECT id FROM idx WHERE token = 'the' INTERSECT SELECT id FROM idx WHERE token = 'and'",
-        "so2_union": f"{chain(P1)} SELECT id FROM pool UNION SELECT id FROM e WHERE src > 1 AND id LIKE '%7'",
+        "so2_union": f"{chain(P1)} SELECT id FROM pool UNION SELECT b.id FROM e a JOIN e b ON a.k = b.k WHERE a.src = 1 AND b.src > 1",
         "so4_difference": f"{chain(P1)} SELECT id FROM e WHERE src > 1 EXCEPT SELECT id FROM pool",
         "so5_first_of_each": f"{e1} SELECT name, arg_min(id, {{'s': src, 'i': id}}) AS id FROM e WHERE src > 1 GROUP BY name",
         "so7_examples": f"{FINDINGS}, x AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY offender) AS rn FROM f) SELECT rule, count(*) AS total, string_agg(offender, ', ' ORDER BY offender) FILTER (rn <= 5) AS shown FROM x GROUP BY rule",

@@ -163,7 +163,7 @@ def _solve(which):
 
 def _completed(spark, sf):
     m, c = (validate.parse(_lines(spark, sf, kind)).groupBy("s1").agg(F.max_by("ids", "line_no").alias("ids")) for kind in ("matching", "candidate"))
-    out = validate.complete(_required(spark, sf), m, c.where(~F.col("s1").like("%3")))
+    out = validate.complete(_required(spark, sf), m, c)
     return out.select("s1", F.array_join("matched", ",").alias("matched"), _joined("candidates").alias("candidates"))
 
 
@@ -219,7 +219,7 @@ def queries() -> dict:
         "bl12_key_candidates": lambda s, d: blocking.key_candidates(_refs(e := _e2(s, d)), _records(e)),
         "bl13_country_filter": lambda s, d: _pairs(s, d).where(blocking.country_allows(tx.country(pc("s_country")), tx.country(pc("c_country")))).select("s1", "id"),
         "bl14_labels": lambda s, d: blocking.label(_candidates(s, d), en.truth(_e1(s, d))).select("s1", "id", "label"),
-        "bl15_truth_of_chunk": lambda s, d: en.truth(e := _e2(s, d)).join(_refs(e).where("k % 3 = 0").select(F.col("id").alias("s1")), "s1", "left_semi"),
+        "bl15_truth_of_chunk": lambda s, d: en.truth(e := _e2(s, d)).join(blocking.split_holdout(_refs(e), 50)[0].select(F.col("id").alias("s1")), "s1", "left_semi"),
         "bl16_holdout": lambda s, d: ids(blocking.split_holdout(_refs(_e2(s, d)), 50)[0]),
         "bl17_complete": _completed,
         # similarity
@@ -241,6 +241,7 @@ def queries() -> dict:
         "ml6_decide": lambda s, d: _votes(s, d).select("s1", "id", model.decide(F.round("p", 6), THRESHOLD).alias("yes")),
         # metrics
         "ag1_ag2_confusion": lambda s, d: (x := metrics.confusion(_scored(s, d)[1], THRESHOLD)).select(*[_r6(i).alias(i) if i.startswith("cand") else i for i in x.columns]),
+        "ag15_confusion_matrix": lambda s, d: metrics.confusion_matrix(_scored(s, d)[1], THRESHOLD).select("actual", "predicted_no", "predicted_yes", _r6("rate_no").alias("rate_no"), _r6("rate_yes").alias("rate_yes")),
         "ag3_entity_counts": lambda s, d: metrics.entity_counts(*_scored(s, d), THRESHOLD),
         "ag4_entity_f05": lambda s, d: metrics.entity_counts(*_scored(s, d), THRESHOLD).select("s1", _r6(metrics.entity_f05(pc("tp"), pc("fp"), pc("gt"))).alias("f05")),
         "ag5_ag7_macro": lambda s, d: metrics.macro_f05(metrics.entity_counts(*_scored(s, d), THRESHOLD)).select(_r6("macro_f05").alias("macro_f05"), "correct_singletons", "false_singletons"),
@@ -256,7 +257,7 @@ def queries() -> dict:
         "ag14_report": lambda s, d: (x := metrics.report(*_scored(s, d))).select(*[i if x.schema[i].dataType.typeName() == "long" else _r6(i).alias(i) for i in x.columns]),
         # sets, sorts, limits
         "so1_intersect": lambda s, d: (i := blocking.token_index(_records(blocking.prepare(_e1(s, d))))).where("token = 'the'").select("id").intersect(i.where("token = 'and'").select("id")),
-        "so2_union": lambda s, d: _candidates(s, d).select("id").union(_records(_e1(s, d)).where("id LIKE '%7'").select("id")).distinct(),
+        "so2_union": lambda s, d: _candidates(s, d).select("id").union(en.truth(_e1(s, d)).select("id")).distinct(),
         "so4_difference": lambda s, d: ids(_records(_e1(s, d))).exceptAll(_candidates(s, d).select("id").distinct()),
         "so5_first_of_each": lambda s, d: _records(_e1(s, d)).groupBy("name").agg(F.min(F.struct("src", "id")).alias("m")).select("name", "m.id"),
         "so7_examples": lambda s, d: validate.examples(_findings(s, d)),
