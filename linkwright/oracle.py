@@ -243,9 +243,9 @@ def all_feature_sql():
     return f"{recursive(head.rstrip())}, {both}, f AS (SELECT s1, id, {last} FROM x) SELECT f.* EXCLUDE (sn, cn, sa, ca), round(n.v, 6) AS name_jaro, round(d.v, 6) AS addr_jaro FROM f JOIN jw n ON n.a = sn AND n.b = cn JOIN jw d ON d.a = sa AND d.b = ca"
 
 
-def feature_sql(more=""):
+def feature_sql(more="", source=PAIRS):
     T = {"sn": words("sn"), "cn": words("cn"), "sa": words("sa"), "ca": words("ca")}
-    q = f"""{PAIRS}, w AS (SELECT *, list_distinct({T['sn']}) AS nt1, list_distinct({T['cn']}) AS nt2, list_distinct({T['sa']}) AS at1, list_distinct({T['ca']}) AS at2, {T['sn']} AS w1, {T['cn']} AS w2,
+    q = f"""{source}, w AS (SELECT *, list_distinct({T['sn']}) AS nt1, list_distinct({T['cn']}) AS nt2, list_distinct({T['sa']}) AS at1, list_distinct({T['ca']}) AS at2, {T['sn']} AS w1, {T['cn']} AS w2,
 {grams('sn')} AS g1, {grams('cn')} AS g2, {grams('sa')} AS h1, {grams('ca')} AS h2, {sorted_words('sn')} AS ns1, {sorted_words('cn')} AS ns2, {sorted_words('sa')} AS as1, {sorted_words('ca')} AS as2,
 list_sort({houses('s_addr')}) AS u1, list_sort({houses('c_addr')}) AS u2, {land('s_country')} AS l1, {land('c_country')} AS l2, {postal('s_addr', 's_country')} AS z1, {postal('c_addr', 'c_country')} AS z2, {domain('sn', 'sa')} AS d1, {domain('cn', 'ca')} AS d2 FROM p),
 x AS (SELECT *, len(list_intersect(nt1, nt2)) AS o, len(list_intersect(at1, at2)) AS q FROM w)"""
@@ -263,6 +263,16 @@ x AS (SELECT *, len(list_intersect(nt1, nt2)) AS o, len(list_intersect(at1, at2)
     return f"{q} SELECT s1, id, " + ", ".join(f"round(({f[n]})::DOUBLE, 6) AS {n}" for n in NAMES if n in f) + f"{more} FROM x"
 
 
+def resolved():
+    """Candidates, the country filter, features, three fixed votes, the threshold and both lists of every reference."""
+    source = PAIRS.replace(P2, chain(P2), 1).replace(PAIR, "SELECT s1, id, 0.0::DOUBLE AS prob, 0 AS label FROM pool")
+    head, last = feature_sql(", l1, l2", source).rsplit("SELECT s1, id, ", 1)
+    return f"""{head}, f AS (SELECT s1, id, {last}),
+y AS (SELECT s1, id FROM f WHERE (l1 = '' OR l2 = '' OR l1 = l2) AND round(0.5 * name_jaccard + 0.3 * name_char_jaccard + 0.2 * addr_jaccard, 5) >= 0.5),
+ml AS (SELECT s1, string_agg(id, ',' ORDER BY id) AS ids FROM y GROUP BY s1), cl AS (SELECT s1, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT s1, id FROM pool) GROUP BY s1)
+SELECT e.id AS s1, coalesce(cl.ids, '') AS candidates, coalesce(ml.ids, '') AS matched FROM e LEFT JOIN cl ON cl.s1 = e.id LEFT JOIN ml ON ml.s1 = e.id WHERE e.src = 1"""
+
+
 def entity_f(tp="tp", fp="fp", gt="gt"):
     p, r = frac(tp, f"({tp} + {fp})"), frac(tp, gt)
     return f"CASE WHEN {gt} = 0 THEN CASE WHEN {fp} = 0 THEN 1.0 ELSE 0.0 END ELSE {fbeta(p, r)} END"
@@ -374,6 +384,7 @@ SELECT req.id AS s1, array_to_string(coalesce(ml.ids, []), ',') AS matched, {joi
         "sm8_f_beta": f"{SCORED} SELECT s1, id, round({fbeta('prob', '1 - prob')}, 6) AS value FROM scored",
         "f30_pair_features": feature_sql(),
         "f32_pair_features": all_feature_sql(),
+        "resolve_parts": resolved(),
         "sm4_jaro_winkler": jaro_sql("sn", "cn"),
         "ag15_confusion_matrix": f"{SCORED} SELECT label AS actual, count(*) FILTER (prob < {THRESHOLD}) AS predicted_no, count(*) FILTER (prob >= {THRESHOLD}) AS predicted_yes, round(count(*) FILTER (prob < {THRESHOLD}) / count(*), 6) AS rate_no, round(count(*) FILTER (prob >= {THRESHOLD}) / count(*), 6) AS rate_yes FROM scored GROUP BY label",
         "solver_rules": lists(E2),

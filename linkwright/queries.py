@@ -12,7 +12,7 @@ from linkwright.functions import similarity as sm
 from linkwright.functions import text as tx
 from linkwright.operators import blocking, features, metrics, model, validate
 from linkwright.plans import entities as en
-from linkwright.plans import solver
+from linkwright.plans import resolver, solver
 from linkwright.sources import tables
 
 K = 40
@@ -161,6 +161,14 @@ def _solve(which):
     return query
 
 
+def _resolved(spark, sf):
+    """The resolver's whole path on the parts: block, compare, vote, threshold, both lists."""
+    e = _e2(spark, sf)
+    cands, found = resolver.infer(_refs(e), _records(e), model.FixedVotes(), K)
+    text = lambda df, name: df.select("s1", F.array_join("ids", ",").alias(name))
+    return text(cands, "candidates").join(text(found, "matched"), "s1")
+
+
 def _completed(spark, sf):
     m, c = (validate.parse(_lines(spark, sf, kind)).groupBy("s1").agg(F.max_by("ids", "line_no").alias("ids")) for kind in ("matching", "candidate"))
     out = validate.complete(_required(spark, sf), m, c)
@@ -234,6 +242,7 @@ def queries() -> dict:
         "f30_pair_features": _features(False),
         "f32_pair_features": _features(True),
         "solver_rules": _solve(_e2),
+        "resolve_parts": _resolved,
         "solver_rules_documents": _solve(_e1),
         # models
         "ml1_ml3_fit_score": _train,
