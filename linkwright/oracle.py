@@ -364,6 +364,8 @@ SELECT s1, id, score, row_number() OVER (PARTITION BY s1 ORDER BY score DESC, sr
         "bl2_conjunction": one_step(P1, "p1"),
         "bl4_name_house": one_step(P2, "p2"),
         "bl6_address_tokens": one_step(P1, "p4a"),
+        "bl5_second_name_token": one_step(P1, "p3b"),
+        "bl6_second_address_token": one_step(P1, "p4b"),
         "bl8_candidates": f"{chain(P1)} SELECT s1, src, id FROM pool",
         "bl8_candidates_parts": f"{chain(P2)} SELECT s1, src, id FROM pool",
         "bl9_ranked": rank_p,

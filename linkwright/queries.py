@@ -220,6 +220,8 @@ def queries() -> dict:
         "bl2_conjunction": _step("p1"),
         "bl4_name_house": _step("p2", _e2),
         "bl6_address_tokens": _step("p4a"),
+        "bl5_second_name_token": _step("p3b"),
+        "bl6_second_address_token": _step("p4b"),
         "bl8_candidates": lambda s, d: _candidates(s, d),
         "bl8_candidates_parts": lambda s, d: _candidates(s, d, _e2),
         "bl9_ranked": lambda s, d: blocking.ranked_candidates(_refs(p := blocking.prepare(_e2(s, d))), _records(p), 10).select("s1", "id", "score", "rank"),
