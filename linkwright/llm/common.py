@@ -69,6 +69,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes of rows that go to a Python worker at once; a longer text goes alone.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches bounded in bytes, whatever the length of texts (Spark's bound is 64 MB, which a task
+    holds several times over: in buffers on both sides and as objects). Set for the session, as lazy results run later."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def keyed_rows(docs: DataFrame) -> DataFrame:
     """(_key, _row): each row as a struct with a key that every later scan gives it again, on any number of executors.
 

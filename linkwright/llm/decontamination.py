@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import checkpoint, documents, fresh_path, keyed_rows
+from linkwright.llm.common import bounded_batches, checkpoint, documents, fresh_path, keyed_rows
 
 WORDS = 5
 CONTAINED = 0.8
@@ -128,6 +128,7 @@ def contained_rows(docs: DataFrame, items: DataFrame, contained: float = CONTAIN
     others do. They meet the sketches by hash, under the item's own size, and each pair found is verified exactly.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = checkpoint(items.select(F.monotonically_increasing_id().alias("iid"), F.col("item_id").cast("long"), "text"))
 
     def sketched(batches):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkwright.llm.common import documents
+from linkwright.llm.common import bounded_batches, documents
 
 WORD = re.compile(r"[^\W\d_]+")
 #: The classifier is fitted on the whole texts of at most this many different rows of each language.
@@ -206,7 +206,7 @@ class WordTagger:
                 out[i] = g[where == k]
         return out
 
-    def _groups(self, order: list[int], docs: list[list[str]], most: int = 400_000):
+    def _groups(self, order: list[int], docs: list[list[str]], most: int = 200_000):
         group, total = [], 0
         for i in order:
             if group and total + len(docs[i]) > most:
@@ -267,6 +267,7 @@ def predict(docs: DataFrame, tagger: WordTagger) -> DataFrame:
     Only ``text`` is looked at. Null texts, texts without a letter, and all texts where nothing could be learned are
     ``und`` with score 0. Of equal shares the first language by name is taken. Repeated rows stay; columns of these names in the input are replaced.
     """
+    bounded_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     labels, weights, trans, lexicon = tagger.labels, tagger.weights, tagger.trans, tagger.lexicon
     model = docs.sparkSession.sparkContext.broadcast((labels, weights, trans, lexicon))
@@ -275,8 +276,8 @@ def predict(docs: DataFrame, tagger: WordTagger) -> DataFrame:
     def run(batches):
         own = WordTagger(*model.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1500):
-                part = batch.slice(lo, 1500)
+            for lo in range(0, batch.num_rows, 750):
+                part = batch.slice(lo, 750)
                 words = [words_of(t) for t in part.column(at).to_pylist()]
                 if own.labels:
                     share = own.shares(words)

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import checkpoint, documents, keyed_rows
+from linkwright.llm.common import bounded_batches, checkpoint, documents, keyed_rows
 from linkwright.llm.graph import components
 
 BITS = 64
@@ -47,6 +47,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, fp) of each row's whole text; ``fp`` is the fingerprint as a signed long."""
+    bounded_batches(docs.sparkSession)
 
     def run(batches):
         for pdf in batches:
@@ -281,7 +282,7 @@ FILTER_WORDS = 5
 #: Buckets of up to this many sets give pairs; larger ones are joined inside a task that holds the sets.
 SMALL = 32
 #: Shingles in the sets of one block of a large bucket; a task holds two blocks.
-BLOCK_SHINGLES = 4_000_000
+BLOCK_SHINGLES = 2_000_000
 #: Texts whose shingles are counted for the order, and how many of the most frequent shingles the order knows.
 SAMPLE, FREQUENT = 20_000, 100_000
 #: Ids up to this number go to the executors by broadcast; more are joined.
@@ -492,6 +493,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     more, compared by all shingles; rows of equal sets are one node. Rows are told apart by place, so repeated rows and
     null ids are fine. Empty and null texts are copies of each other.
     """
+    bounded_batches(docs.sparkSession)
     rows = keyed_rows(docs)
 
     def run(batches):
