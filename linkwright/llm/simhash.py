@@ -279,7 +279,7 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None
 
 #: Near copies are texts whose sets of five-word shingles have a Jaccard similarity of at least 4/5.
 FILTER_WORDS = 5
-#: Buckets of up to this many sets give pairs; larger ones are joined inside a task that holds the sets.
+#: Buckets of up to this many sets may give pairs; larger ones are joined inside a task that holds the sets.
 SMALL = 32
 #: Shingles in the sets of one block of a large bucket; a task holds two blocks.
 BLOCK_SHINGLES = 2_000_000
@@ -358,11 +358,20 @@ def _bucketed(batches, keys, found):
         yield found(held, np.array([0]), np.array([len(held)]))
 
 
+def _mixed(ids: np.ndarray) -> np.ndarray:
+    """Hashes of ids, to be added up."""
+    h = (ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(32))
+
+
 def candidates(nodes: DataFrame, n: int) -> DataFrame:
-    """(a, b, key, size) of ``nodes`` (id, packed): pairs a < b that may be similar, or members a (b null) of a large bucket.
+    """(a, b, key, size) of ``nodes`` (id, packed): pairs a < b that may be similar, or members a (b null) of a bucket.
 
     A bucket holds the sets with one shingle in their prefix. Of the shared shingles, one is the first in both orders;
-    what is left of both sets from it on bounds the number shared.
+    what is left of both sets from it on bounds the number shared. A bucket with more pairs left than members that are
+    in one gives these members instead, as do large buckets, so no bucket gives more rows than it has. ``key`` is a
+    hash of the bucket's members: should two buckets meet by chance, they are compared as one, and nothing is lost.
     """
     frequent, counts = frequent_shingles(nodes, n)
 
@@ -378,7 +387,7 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
     def found(pdf, starts, ends):
         key, ids, size, left = (pdf[c].to_numpy(np.int64) for c in ("key", "id", "size", "left"))
         many = ends - starts
-        end = np.repeat(ends, many)
+        bucket, end = np.repeat(np.arange(len(many)), many), np.repeat(ends, many)
         idx = np.flatnonzero(np.repeat((many > 1) & (many <= SMALL), many))
         pairs = [np.empty((0, 2), np.int64)]
         for d in range(1, SMALL):
@@ -386,13 +395,21 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
             if not len(idx):
                 break
             ok = idx[similar(np.minimum(left[idx], left[idx + d]), size[idx], size[idx + d])]
-            pairs.append(np.column_stack([ids[ok], ids[ok + d]]))
-        pairs = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
-        large = np.flatnonzero(np.repeat(many > SMALL, many))
+            pairs.append(np.column_stack([ok, ok + d]))
+        pairs = np.concatenate(pairs)
+        partner = np.zeros(len(key), bool)
+        partner[pairs.ravel()] = True
+        of = bucket[pairs[:, 0]]
+        dense = np.bincount(of, minlength=len(many)) > np.bincount(bucket[partner], minlength=len(many))
+        pairs = np.unique(np.sort(ids[pairs[~dense[of]]], axis=1), axis=0)
+        member = np.flatnonzero(np.where(many > SMALL, True, dense)[bucket] & (partner | (many > SMALL)[bucket]))
+        # Buckets of the same members are one: shingles that a group shares give a single bucket, not one each.
+        same = np.zeros(len(many), np.uint64)
+        np.add.at(same, bucket[member], _mixed(ids[member]))
         return pd.concat(
             [
                 pd.DataFrame({"a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64"), "key": pd.array([None] * len(pairs), "Int64"), "size": 0}),
-                pd.DataFrame({"a": ids[large], "b": pd.array([None] * len(large), "Int64"), "key": pd.array(key[large], "Int64"), "size": size[large]}),
+                pd.DataFrame({"a": ids[member], "b": pd.array([None] * len(member), "Int64"), "key": pd.array(same.view(np.int64)[bucket[member]], "Int64"), "size": size[member]}),
             ]
         )
 
@@ -469,12 +486,12 @@ def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
 def similar_links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) between similar sets of ``nodes`` (id, packed); their closure is that of all similar pairs.
 
-    Large buckets are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
+    Buckets that gave members are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
     still hold sets of several groups.
     """
     found = checkpoint(candidates(nodes, nodes.count()))
     edges = checkpoint(similar_pairs(nodes, checkpoint(found.where("b IS NOT NULL").select("a", "b").distinct())))
-    members = found.where("b IS NULL").select("key", F.col("a").alias("id"), "size")
+    members = checkpoint(found.where("b IS NULL").select("key", F.col("a").alias("id"), "size").distinct())
     if members.isEmpty():
         return edges
     many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
