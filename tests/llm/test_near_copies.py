@@ -1,6 +1,7 @@
 """The near-duplicate filter against exact shingle similarity: contiguous edits, the border of 0.8, large families."""
 
 import random
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -76,6 +77,23 @@ def test_families_in_large_buckets(spark, monkeypatch, block):
     assert kept(spark, texts) == set(label)
 
 
+@pytest.mark.parametrize("cousins", [1, 3, 7])
+def test_families_in_middling_buckets(spark, cousins):
+    """Buckets of up to 32 sets: pairs where few are left, members where there would be more pairs than members."""
+    texts = [t for seed in range(3) for t in family(random.Random(seed), cousins)]
+    assert kept(spark, texts) == set(groups(shingle_sets(texts)))
+
+
+def test_no_bucket_gives_more_rows_than_it_has(spark):
+    rng = random.Random(9)
+    base, rows = words(rng, 200), []
+    for at in range(30):
+        rows.append((at, zlib.compress(" ".join([*base[: 6 * at], f"z{at}", *base[6 * at + 1 :]]).encode())))
+    found = simhash.candidates(spark.createDataFrame(rows, "id long, packed binary"), len(rows)).toPandas()
+    prefixes = sum(len(x) - (4 * len(x) + 4) // 5 + 1 for x in simhash._sets([r[1] for r in rows]))
+    assert 0 < len(found) <= prefixes and set(found[found["b"].isna()]["a"]) == set(range(30))
+
+
 def test_forest_joins_what_all_pairs_join():
     texts = family(random.Random(8), 15)
     sets = shingle_sets(texts)
