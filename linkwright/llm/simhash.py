@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import bounded_batches, checkpoint, documents, keyed_rows
+from linkwright.llm.common import bounded_batches, checkpoint, documents, keyed_rows, reclaim
 from linkwright.llm.graph import components
 
 BITS = 64
@@ -285,6 +285,8 @@ SMALL = 32
 BLOCK_SHINGLES = 2_000_000
 #: Texts whose shingles are counted for the order, and how many of the most frequent shingles the order knows.
 SAMPLE, FREQUENT = 20_000, 100_000
+#: One round of comparing moves a share ROUND of all sets at most, and of few sets (ROUND_LEAST) any: this bounds the disk.
+ROUND, ROUND_LEAST = 0.5, 50_000
 #: Ids up to this number go to the executors by broadcast; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -424,17 +426,29 @@ def _needed(nodes: DataFrame, ids: DataFrame) -> DataFrame:
     return nodes.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
-def similar_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets are similar, by all their shingles."""
-    sets = _needed(nodes, pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
-    ends = [sets.select(F.col("id").alias(n), F.col("packed").alias(v)) for n, v in (("a", "x"), ("b", "y"))]
+def _rounds(rows: DataFrame, keys: list[str], moved: float, whole: float) -> list[DataFrame]:
+    """``rows`` dealt by ``keys`` over as many rounds as it takes for each to move a share ROUND of ``whole`` at most."""
+    n = max(1, math.ceil(moved / max(ROUND * whole, ROUND_LEAST)))
+    return [rows.where(F.pmod(F.xxhash64(*keys), F.lit(n)) == r) for r in range(n)] if n > 1 else [rows]
+
+
+def similar_pairs(nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar, by all their shingles. ``n``: the number of ``nodes``."""
 
     def run(batches):
         for pdf in batches:
             ok = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(_sets(pdf["x"]), _sets(pdf["y"]), strict=True)]
             yield pdf.loc[ok, ["a", "b"]]
 
-    return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    out = None
+    for part in _rounds(pairs, ["a", "b"], 2 * pairs.count(), n):
+        sets = _needed(nodes, part.select(F.col("a").alias("id")).union(part.select("b")))
+        ends = [sets.select(F.col("id").alias(c), F.col("packed").alias(v)) for c, v in (("a", "x"), ("b", "y"))]
+        found = checkpoint(part.join(ends[0], "a").join(ends[1], "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long"))
+        out = found if out is None else out.union(found)
+        del sets, ends, found
+        reclaim(nodes.sparkSession)
+    return out
 
 
 def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -483,24 +497,44 @@ def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
     return rows.mapInPandas(lambda batches: _bucketed(batches, ["key", "salt"], found), "a long, b long")
 
 
+def _joined_in_rounds(nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int) -> DataFrame:
+    """``edges`` and those of ``members``' buckets."""
+    for part in _rounds(members, ["key"], members.count(), n):
+        reclaim(nodes.sparkSession)
+        edges = checkpoint(edges.union(_joined(nodes, part)))
+    reclaim(nodes.sparkSession)
+    return edges
+
+
 def similar_links(nodes: DataFrame) -> DataFrame:
     """Edges (a, b) between similar sets of ``nodes`` (id, packed); their closure is that of all similar pairs.
 
     Buckets that gave members are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
-    still hold sets of several groups.
+    still hold sets of several groups. What a step left on disk goes before the next, and steps that would move more
+    than a share ROUND of all sets are dealt over rounds.
     """
-    found = checkpoint(candidates(nodes, nodes.count()))
-    edges = checkpoint(similar_pairs(nodes, checkpoint(found.where("b IS NOT NULL").select("a", "b").distinct())))
+    spark, n = nodes.sparkSession, nodes.count()
+    found = checkpoint(candidates(nodes, n))
+    reclaim(spark)
+    pairs = checkpoint(found.where("b IS NOT NULL").select("a", "b").distinct())
     members = checkpoint(found.where("b IS NULL").select("key", F.col("a").alias("id"), "size").distinct())
+    del found
+    reclaim(spark)
+    edges = checkpoint(similar_pairs(nodes, pairs, n))
+    del pairs
     if members.isEmpty():
         return edges
     many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     home = members.join(many, "key").groupBy("id").agg(F.max(F.struct("n", "key"))["key"].alias("key"), F.first("size").alias("size"))
-    edges = checkpoint(edges.union(_joined(nodes, checkpoint(home.select("key", "id", "size", F.col("id").alias("root"))))))
+    home = checkpoint(home.select("key", "id", "size", F.col("id").alias("root")))
+    del many
+    edges = _joined_in_rounds(nodes, home, edges, n)
     rooted = members.join(components(edges), F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
     rooted = checkpoint(rooted)
     mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    return checkpoint(edges.union(_joined(nodes, checkpoint(rooted.join(mixed, "key")))))
+    left = checkpoint(rooted.join(mixed, "key"))
+    del home, members, rooted, mixed
+    return _joined_in_rounds(nodes, left, edges, n)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -528,6 +562,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     def least(row: str):
         return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(row).alias("row")))["row"]
 
+    reclaim(docs.sparkSession)
     firsts = prints.groupBy("digest").agg(least("rid").alias("id"))
     same = checkpoint(prints.join(firsts, "digest").where("rid != id").select("rid"))
     copies = F.broadcast(same) if same.count() <= BROADCAST_IDS else same

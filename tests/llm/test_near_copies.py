@@ -1,7 +1,9 @@
 """The near-duplicate filter against exact shingle similarity: contiguous edits, the border of 0.8, large families."""
 
 import random
+import time
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -135,3 +137,24 @@ def test_probers_of_a_hot_neighbour_are_split(spark, monkeypatch, block):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
     sizes = simhash._hot_keys(nodes, plan, block).collect()
     assert any(x["so"] == 1 and x["sp"] >= 600 // block for x in sizes) and any(x["so"] > 1 for x in sizes)
+
+
+def test_steps_leave_no_files_behind_and_rounds_change_nothing(spark, monkeypatch):
+    """Shuffles of finished steps go while the stage runs; a share of sets that makes many rounds gives the same rows."""
+    texts = [t for seed in range(2) for t in family(random.Random(seed), 12)]
+    seen, held, store = set(), [], simhash.checkpoint
+    folders = [str(f) for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def watched(df):
+        out = store(df)
+        now = {p.name.split("_")[1] for f in folders for p in Path(f).rglob("shuffle_*.data")}
+        seen.update(now)
+        held.append(len(now))
+        return out
+
+    simhash.reclaim(spark)
+    time.sleep(2)
+    monkeypatch.setattr(simhash, "checkpoint", watched)
+    monkeypatch.setattr(simhash, "ROUND_LEAST", 400)
+    assert kept(spark, texts) == set(groups(shingle_sets(texts)))
+    assert max(held) < 0.6 * len(seen)
