@@ -506,27 +506,56 @@ def _joined_in_rounds(nodes: DataFrame, members: DataFrame, edges: DataFrame, n:
     return edges
 
 
+def fingerprint_edges(nodes: DataFrame, n: int) -> DataFrame:
+    """Edges (a, b) between similar sets of ``nodes`` (id, fp, packed) that the search over fingerprints finds.
+
+    Fingerprints are linked as in op3 (correlated groups of bits, thresholds, probes, verified at RADIUS); the first set
+    of each stands for it and is paired with its others. Each pair is then decided by all its shingles.
+    """
+    firsts = checkpoint(nodes.groupBy("fp").agg(F.min("id").alias("first")))
+    end = lambda c: firsts.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_id"))
+    pairs = link(firsts.select("fp")).join(end("a"), "a").join(end("b"), "b").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+    same = nodes.select("id", "fp").join(firsts, "fp").where("id != first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    pairs = checkpoint(pairs.union(same))
+    reclaim(nodes.sparkSession)
+    return checkpoint(similar_pairs(nodes, pairs, n))
+
+
+def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose ends aren't in one of ``groups`` (node, root)."""
+    root = lambda c: groups.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root"))
+    out = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return out.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+
 def similar_links(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between similar sets of ``nodes`` (id, packed); their closure is that of all similar pairs.
+    """Edges (a, b) between similar sets of ``nodes`` (id, fp, packed); their closure is that of all similar pairs.
+
+    Near fingerprints are looked up first; what is similar and has fingerprints further apart is found by prefixes, which
+    miss no similar pair. Pairs and sets in one group by then aren't compared again.
 
     Buckets that gave members are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
     still hold sets of several groups. What a step left on disk goes before the next, and steps that would move more
     than a share ROUND of all sets are dealt over rounds.
     """
     spark, n = nodes.sparkSession, nodes.count()
+    near = fingerprint_edges(nodes, n)
+    groups = checkpoint(components(near))
+    nodes = nodes.select("id", "packed")
     found = checkpoint(candidates(nodes, n))
     reclaim(spark)
-    pairs = checkpoint(found.where("b IS NOT NULL").select("a", "b").distinct())
+    pairs = checkpoint(_apart(found.where("b IS NOT NULL").select("a", "b").distinct(), groups))
     members = checkpoint(found.where("b IS NULL").select("key", F.col("a").alias("id"), "size").distinct())
     del found
     reclaim(spark)
-    edges = checkpoint(similar_pairs(nodes, pairs, n))
+    edges = checkpoint(near.union(similar_pairs(nodes, pairs, n)))
     del pairs
     if members.isEmpty():
         return edges
     many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     home = members.join(many, "key").groupBy("id").agg(F.max(F.struct("n", "key"))["key"].alias("key"), F.first("size").alias("size"))
-    home = checkpoint(home.select("key", "id", "size", F.col("id").alias("root")))
+    home = home.join(components(edges), F.col("id") == F.col("node"), "left")
+    home = checkpoint(home.select("key", "id", "size", F.coalesce("root", "id").alias("root")))
     del many
     edges = _joined_in_rounds(nodes, home, edges, n)
     rooted = members.join(components(edges), F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
@@ -540,8 +569,9 @@ def similar_links(nodes: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest doc_id (null last, then the first row).
 
-    Groups are the components of all pairs of rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or
-    more, compared by all shingles; rows of equal sets are one node. Rows are told apart by place, so repeated rows and
+    SimHash fingerprints are searched as in op3 and their pairs decided by all shingles; an exact search takes the pairs
+    whose fingerprints are further apart. So groups are the components of all pairs of rows whose sets of five-word
+    shingles have a Jaccard similarity of 0.8 or more; rows of equal sets are one node. Rows are told apart by place, so repeated rows and
     null ids are fine. Empty and null texts are copies of each other.
     """
     bounded_batches(docs.sparkSession)
@@ -552,11 +582,12 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
         for pdf in batches:
             digest = [xxhash.xxh3_128_digest(shingles(t).tobytes()) for t in pdf["text"]]
+            fp = np.array([fingerprint(t) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
             packed = [zlib.compress((t or "").encode(), 1) for t in pdf["text"]]
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "packed": packed})
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "fp": fp, "packed": packed})
 
     numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("_row.doc_id").cast("long").alias("doc_id"), "_key", "_row.text")
-    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, packed binary"))
+    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, fp long, packed binary"))
     prints = whole.select("rid", "doc_id", "_key", "digest")
 
     def least(row: str):
@@ -566,7 +597,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = prints.groupBy("digest").agg(least("rid").alias("id"))
     same = checkpoint(prints.join(firsts, "digest").where("rid != id").select("rid"))
     copies = F.broadcast(same) if same.count() <= BROADCAST_IDS else same
-    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "packed")
+    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "fp", "packed")
     groups = components(similar_links(nodes))
     groups = checkpoint(groups.join(prints.select(F.col("rid").alias("node"), "doc_id"), "node"))
     kept = groups.groupBy("root").agg(least("node").alias("kept"))

@@ -158,3 +158,19 @@ def test_steps_leave_no_files_behind_and_rounds_change_nothing(spark, monkeypatc
     monkeypatch.setattr(simhash, "ROUND_LEAST", 400)
     assert kept(spark, texts) == set(groups(shingle_sets(texts)))
     assert max(held) < 0.6 * len(seen)
+
+
+def test_the_filter_searches_fingerprints_first(spark, monkeypatch):
+    """Copies with near fingerprints are joined by that search, those far apart by the exact one, and no others."""
+    rng, texts, edges = random.Random(11), [], []
+    for k in range(12):
+        base = words(rng, 400)
+        texts += [base, base[:399] + ["end"], base + words(rng, 90 if k % 2 else 130)]
+    texts = [" ".join(t) for t in texts]
+    fps = [simhash.fingerprint(t) for t in texts]
+    close = {(i, j) for i in range(36) for j in range(i + 1, 36) if (fps[i] ^ fps[j]).bit_count() <= simhash.RADIUS}
+    assert len(close) > 8 and any((3 * k, 3 * k + 2) not in close for k in range(1, 12, 2))
+    store = simhash.fingerprint_edges
+    monkeypatch.setattr(simhash, "fingerprint_edges", lambda *a: edges.append(store(*a)) or edges[-1])
+    assert kept(spark, texts) == set(groups(shingle_sets(texts)))
+    assert edges[0].count() >= len({i // 3 for i, j in close}) and all(r.a != r.b for r in edges[0].collect())
