@@ -1,0 +1,37 @@
+"""Key candidates against a count by hand: hot keys, short lists, equal keys; pairs are scored where they meet."""
+
+import random
+
+from linkwright.functions import extract as ex
+from linkwright.operators import blocking
+from linkwright.plans import solver
+from pyspark.sql import functions as F
+
+COLUMNS = "id string, src int, name string, addr string, country string"
+
+
+def rows(rng, n, srcs):
+    words = ["large ring", "large rod", "larch ringlets", "small bolt", "hot", "", "x1", "smaller boltons"]
+    return [(f"S{(s := rng.choice(srcs))}-{i}", s, rng.choice(words) + rng.choice(["", " steel", " copperplate"]), f"{rng.randrange(100, 104)} Road", rng.choice(["US", "us ", None])) for i in range(n)]
+
+
+def test_first_k_of_all_keys(spark):
+    rng = random.Random(3)
+    refs, recs = (spark.createDataFrame(rows(rng, n, s), COLUMNS) for n, s in ((60, [1]), (250, [2, 3])))
+    refs, recs = refs.union(refs.limit(5)), recs.union(recs.limit(9))  # repeated rows change nothing
+    keys = lambda df: [(r.src, r.id, set(r.keys_)) for r in df.select("src", "id", ex.blocking_keys(F.col("name"), F.col("addr"), F.col("country")).alias("keys_")).distinct().collect()]
+    theirs = sorted(keys(recs), key=lambda x: x[:2])
+    for k in (1, 7, 40, 1000):
+        want = {(r, s, i) for _, r, mine in keys(refs) for s, i, _ in [x for x in theirs if x[2] & mine][:k]}
+        got = [tuple(x) for x in blocking.key_candidates(refs, recs, k).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_are_scored_at_their_key(spark):
+    """No join by a pair's ids: a table of all pairs, with both sides' grams, isn't moved."""
+    rng = random.Random(4)
+    refs, recs = (spark.createDataFrame(rows(rng, n, s), COLUMNS) for n, s in ((20, [1]), (50, [2, 3])))
+    scored = solver.scored_pairs(refs, recs, 20)
+    top = scored._jdf.queryExecution().optimizedPlan().toString().split("Join ")[1].split("\n")[0]
+    assert "(key#" in top and "id#" not in top.split("(key#")[1].split(")")[0]
+    assert scored.count() == blocking.key_candidates(refs, recs, 20).count()
