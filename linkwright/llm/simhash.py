@@ -287,6 +287,8 @@ BLOCK_SHINGLES = 2_000_000
 SAMPLE, FREQUENT = 20_000, 100_000
 #: One round of comparing moves a share ROUND of all sets at most, and of few sets (ROUND_LEAST) any: this bounds the disk.
 ROUND, ROUND_LEAST = 0.5, 50_000
+#: Bits of a set's sketch.
+SKETCH_BITS = 1024
 #: Ids up to this number go to the executors by broadcast; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -310,6 +312,23 @@ def similar(common, a, b):
     return 9 * common >= 4 * (a + b)
 
 
+def sketch(keys: np.ndarray) -> bytes:
+    """Whether an odd number of ``keys`` falls into each of SKETCH_BITS classes, a bit each."""
+    return np.packbits(np.bincount(keys & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1).tobytes()
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, SKETCH_BITS // 64)
+
+
+def may_be_similar(x, y, a, b) -> np.ndarray:
+    """Whether sets of ``a`` and ``b`` shingles with sketches ``x`` and ``y`` may be similar; False is certain.
+
+    Similar sets differ in (a + b) / 9 shingles at most, and each of these changes one bit.
+    """
+    return 9 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= a + b
+
+
 def _sets(column) -> list[np.ndarray]:
     """Sets of packed texts: these take a third of the hashes' bytes, and hashing them again is cheap."""
     return [_unpacked(x) for x in column]
@@ -423,7 +442,7 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
 def _needed(nodes: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``nodes`` with one of ``ids``, so that no other set is shuffled."""
     ids = checkpoint(ids.distinct())
-    return nodes.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+    return nodes.select("id", "packed").join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
 
 
 def _rounds(rows: DataFrame, keys: list[str], moved: float, whole: float) -> list[DataFrame]:
@@ -432,6 +451,18 @@ def _rounds(rows: DataFrame, keys: list[str], moved: float, whole: float) -> lis
     return [rows.where(F.pmod(F.xxhash64(*keys), F.lit(n)) == r) for r in range(n)] if n > 1 else [rows]
 
 
+def _sketched(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that may be similar by their sketches, so that few texts are moved for what isn't."""
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                yield pdf.loc[may_be_similar(_sketches(pdf["x"]), _sketches(pdf["y"]), pdf["m"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)), ["a", "b"]]
+
+    ends = [nodes.select(F.col("id").alias(c), F.col("sketch").alias(v), F.col("size").alias(k)) for c, v, k in (("a", "x", "m"), ("b", "y", "n"))]
+    return pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "x", "y", "m", "n").mapInPandas(run, "a long, b long")
+
+
 def similar_pairs(nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets are similar, by all their shingles. ``n``: the number of ``nodes``."""
 
@@ -440,7 +471,8 @@ def similar_pairs(nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
             ok = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(_sets(pdf["x"]), _sets(pdf["y"]), strict=True)]
             yield pdf.loc[ok, ["a", "b"]]
 
-    out = None
+    out, pairs = None, checkpoint(_sketched(nodes, pairs))
+    reclaim(nodes.sparkSession)
     for part in _rounds(pairs, ["a", "b"], 2 * pairs.count(), n):
         sets = _needed(nodes, part.select(F.col("a").alias("id")).union(part.select("b")))
         ends = [sets.select(F.col("id").alias(c), F.col("packed").alias(v)) for c, v in (("a", "x"), ("b", "y"))]
@@ -478,13 +510,51 @@ def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[t
     return edges
 
 
-def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """Edges of each bucket's ``forest``. ``members``: (key, id, size, root). Large buckets are dealt over pairs of blocks."""
+def partnered(roots: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Which sets of a bucket may be similar, by their sketches, to one that has another root."""
+    order = np.argsort(size, kind="stable")
+    roots, size, x, ok = roots[order], size[order], sketches[order], np.zeros(len(order), bool)
+    for i, end in enumerate(np.searchsorted(4 * size, 5 * size, "right").tolist()):
+        j = np.arange(i + 1, end)[roots[i + 1 : end] != roots[i]]
+        j = j[~ok[j]] if ok[i] else j
+        if len(j):
+            hit = j[may_be_similar(x[i], x[j], size[i], size[j])]
+            ok[hit] = True
+            ok[i] |= len(hit) > 0
+    out = np.empty(len(ok), bool)
+    out[order] = ok
+    return out
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """(key, salt, id, size, root): ``members`` (key, id, size, root), those of large buckets dealt over pairs of blocks."""
     split = members.groupBy("key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("s"))
     mine, other, s = F.pmod(F.xxhash64("id"), F.col("s")), F.col("o"), F.col("s")
     rows = members.join(split, "key").withColumn("o", F.explode(F.sequence(F.lit(0), s - 1)))
-    rows = rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "root")
-    rows = rows.join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "packed")
+    return rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "size", "root")
+
+
+def _partnered(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Those of ``members`` (key, id, size, root) that may have a similar set of another root in their bucket.
+
+    Sketches are moved, not texts: a bucket of a frequent shingle holds many sets that are like no other.
+    """
+
+    def found(pdf, starts, ends):
+        root, size = pdf["root"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
+        x = _sketches(pdf["sketch"])
+        ok = np.concatenate([partnered(root[s:e], size[s:e], x[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+        return pdf.loc[ok, ["key", "id", "size", "root"]]
+
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _dealt(members).join(nodes.select("id", "sketch"), "id").select("key", "salt", "id", "size", "root", "sketch")
+    rows = rows.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "id")
+    return rows.mapInPandas(lambda batches: _bucketed(batches, ["key", "salt"], found), "key long, id long, size long, root long").distinct()
+
+
+def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """Edges of each bucket's ``forest``. ``members``: (key, id, size, root). Large buckets are dealt over pairs of blocks."""
+    rows = _dealt(members).join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "packed")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def found(pdf, starts, ends):
@@ -499,6 +569,7 @@ def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
 
 def _joined_in_rounds(nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int) -> DataFrame:
     """``edges`` and those of ``members``' buckets."""
+    members = checkpoint(_partnered(nodes, members))
     for part in _rounds(members, ["key"], members.count(), n):
         reclaim(nodes.sparkSession)
         edges = checkpoint(edges.union(_joined(nodes, part)))
@@ -507,7 +578,7 @@ def _joined_in_rounds(nodes: DataFrame, members: DataFrame, edges: DataFrame, n:
 
 
 def fingerprint_edges(nodes: DataFrame, n: int) -> DataFrame:
-    """Edges (a, b) between similar sets of ``nodes`` (id, fp, packed) that the search over fingerprints finds.
+    """Edges (a, b) between similar sets of ``nodes`` (id, fp, size, sketch, packed) that the search over fingerprints finds.
 
     Fingerprints are linked as in op3 (correlated groups of bits, thresholds, probes, verified at RADIUS); the first set
     of each stands for it and is paired with its others. Each pair is then decided by all its shingles.
@@ -529,19 +600,20 @@ def _apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def similar_links(nodes: DataFrame) -> DataFrame:
-    """Edges (a, b) between similar sets of ``nodes`` (id, fp, packed); their closure is that of all similar pairs.
+    """Edges (a, b) between similar sets of ``nodes`` (id, fp, size, sketch, packed); their closure is that of all similar pairs.
 
     Near fingerprints are looked up first; what is similar and has fingerprints further apart is found by prefixes, which
     miss no similar pair. Pairs and sets in one group by then aren't compared again.
 
     Buckets that gave members are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
     still hold sets of several groups. What a step left on disk goes before the next, and steps that would move more
-    than a share ROUND of all sets are dealt over rounds.
+    than a share ROUND of all sets are dealt over rounds. Only sets whose sketches leave it open that they are similar to
+    another are moved with their texts.
     """
     spark, n = nodes.sparkSession, nodes.count()
     near = fingerprint_edges(nodes, n)
     groups = checkpoint(components(near))
-    nodes = nodes.select("id", "packed")
+    nodes = nodes.select("id", "size", "sketch", "packed")
     found = checkpoint(candidates(nodes, n))
     reclaim(spark)
     pairs = checkpoint(_apart(found.where("b IS NOT NULL").select("a", "b").distinct(), groups))
@@ -581,13 +653,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
         import xxhash
 
         for pdf in batches:
-            digest = [xxhash.xxh3_128_digest(shingles(t).tobytes()) for t in pdf["text"]]
+            sets = [shingles(t) for t in pdf["text"]]
+            digest = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
             fp = np.array([fingerprint(t) for t in pdf["text"]], dtype=np.uint64).view(np.int64)
             packed = [zlib.compress((t or "").encode(), 1) for t in pdf["text"]]
-            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "fp": fp, "packed": packed})
+            yield pd.DataFrame({"rid": pdf["rid"], "doc_id": pdf["doc_id"].astype("Int64"), "_key": pdf["_key"], "digest": digest, "fp": fp, "size": [len(x) for x in sets], "sketch": [sketch(x) for x in sets], "packed": packed})
 
     numbered = rows.select(F.monotonically_increasing_id().alias("rid"), F.col("_row.doc_id").cast("long").alias("doc_id"), "_key", "_row.text")
-    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, fp long, packed binary"))
+    whole = checkpoint(numbered.mapInPandas(run, "rid long, doc_id long, _key string, digest binary, fp long, size int, sketch binary, packed binary"))
     prints = whole.select("rid", "doc_id", "_key", "digest")
 
     def least(row: str):
@@ -597,7 +670,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = prints.groupBy("digest").agg(least("rid").alias("id"))
     same = checkpoint(prints.join(firsts, "digest").where("rid != id").select("rid"))
     copies = F.broadcast(same) if same.count() <= BROADCAST_IDS else same
-    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "fp", "packed")
+    nodes = whole.join(copies, "rid", "left_anti").select(F.col("rid").alias("id"), "fp", "size", "sketch", "packed")
     groups = components(similar_links(nodes))
     groups = checkpoint(groups.join(prints.select(F.col("rid").alias("node"), "doc_id"), "node"))
     kept = groups.groupBy("root").agg(least("node").alias("kept"))

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from linkwright.llm import simhash
 from linkwright.llm.graph import components
@@ -174,3 +175,43 @@ def test_the_filter_searches_fingerprints_first(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprint_edges", lambda *a: edges.append(store(*a)) or edges[-1])
     assert kept(spark, texts) == set(groups(shingle_sets(texts)))
     assert edges[0].count() >= len({i // 3 for i, j in close}) and all(r.a != r.b for r in edges[0].collect())
+
+
+def test_sketches_hide_no_similar_pair():
+    """Bits bound the difference from below: sets at or above 0.8 always pass, most others don't."""
+    rng, close, far = np.random.default_rng(3), [], []
+    for n in (1, 5, 100, 700, 40_000):  # too many for the bits at last
+        for common in (n, (8 * n + 8) // 9, n // 2, 0):
+            keys = rng.integers(-(1 << 62), 1 << 62, 2 * n - common)
+            a, b = keys[:n], keys[n - common :]
+            (close if simhash.similar(common, n, n) else far).append((a, b))
+
+    def passes(pairs):
+        sizes = [np.array([len(p[k]) for p in pairs]) for k in (0, 1)]
+        return simhash.may_be_similar(*[simhash._sketches([simhash.sketch(p[k]) for p in pairs]) for k in (0, 1)], *sizes)
+
+    assert passes(close).all() and len(close) > 5
+    assert not passes([p for p in far if 50 < len(p[0]) < 1000]).any()
+
+
+def test_sets_like_no_other_are_not_moved(spark, monkeypatch):
+    """A line that many unlike texts share makes a large bucket; only the two copies in it are compared by their texts."""
+    rng, moved, needed = random.Random(12), [], simhash._needed
+    line = words(rng, 5)
+    texts = [line + [f"u{k}x{i}" for i in range(60)] for k in range(80)]
+    texts.append([*texts[7][:-1], "end"])
+    monkeypatch.setattr(simhash, "_needed", lambda nodes, ids: moved.append(ids.distinct().count()) or needed(nodes, ids))
+    monkeypatch.setattr(simhash, "prefix", lambda keys, *_: keys)
+    assert kept(spark, [" ".join(t) for t in texts]) == set(range(80))
+    assert moved and max(moved) <= 2
+
+
+def test_components_leave_few_partitions(spark, monkeypatch):
+    """Rounds over few edges write few files, however many partitions the edges came in."""
+    from linkwright.llm import graph
+
+    seen, store = [], graph.checkpoint
+    monkeypatch.setattr(graph, "checkpoint", lambda df: seen.append((out := store(df)).rdd.getNumPartitions()) or out)
+    edges = spark.range(0, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(30)
+    assert {r["root"] for r in components(edges).collect()} == {0}
+    assert len(seen) > 2 and max(seen[1:]) == 1
