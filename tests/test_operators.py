@@ -31,6 +31,24 @@ def test_budget_counts_repeated_hits(spark):
     assert blocking.candidates(s, r.limit(0), 3).count() == 0
 
 
+def test_ranking_moves_no_pairs(spark):
+    """Each of 300 references meets 300 records by one word; ranking them moves references and lists, not 90,000 pairs."""
+
+    def moved():
+        sc = spark.sparkContext
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    r = blocking.prepare(records(spark, [(f"S2-{i:03}", 2, f"alpha{i % 7} common", "", "US" if i % 2 else "FR") for i in range(300)]))
+    s = blocking.prepare(records(spark, [(f"S1-{i:03}", 1, f"alpha{i % 7} common", "", "US") for i in range(300)]))
+    at = moved()
+    rows = blocking.ranked_candidates(s, r, 5).collect()
+    assert moved() - at < 20_000
+    got = sorted((x["rank"], x["id"], x["score"]) for x in rows if x["s1"] == "S1-003")
+    assert got == [(n + 1, f"S2-{i:03}", 18) for n, i in enumerate([3, 17, 31, 45, 59])] and len(rows) == 1500
+
+
 def test_metrics_rules(spark):
     ents = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     truth = spark.createDataFrame([("a", "x"), ("a", "y")], "s1 string, id string")
