@@ -281,8 +281,8 @@ def near_groups(prints: DataFrame, radius: int = RADIUS, most_parts: int | None
 FILTER_WORDS = 5
 #: Buckets of up to this many sets may give pairs; larger ones are joined inside a task that holds the sets.
 SMALL = 32
-#: Shingles in the sets of one block of a large bucket; a task holds two blocks.
-BLOCK_SHINGLES = 2_000_000
+#: Shingles in the sets of one block of a large bucket, and how many sets; a task holds two blocks.
+BLOCK_SHINGLES, BLOCK_SETS = 2_000_000, 8192
 #: Texts whose shingles are counted for the order, and how many of the most frequent shingles the order knows.
 SAMPLE, FREQUENT = 20_000, 100_000
 #: One round of comparing moves a share ROUND of all sets at most, and of few sets (ROUND_LEAST) any: this bounds the disk.
@@ -379,11 +379,18 @@ def _bucketed(batches, keys, found):
         yield found(held, np.array([0]), np.array([len(held)]))
 
 
-def _mixed(ids: np.ndarray) -> np.ndarray:
-    """Hashes of ids, to be added up."""
-    h = (ids.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
+def has_partner(left: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which sets of a bucket may be similar to another by their sizes and what is ``left`` of both: exact, without all pairs."""
+    order = np.argsort(left, kind="stable")
+    x, z = left[order], size[order]
+    least = np.minimum.accumulate(z[:0:-1])[::-1]  # of those with more left
+    room = np.maximum.accumulate(9 * x[:-1] - 4 * z[:-1])  # of those with less left
+    ok = np.zeros(len(x), bool)
+    ok[:-1] |= similar(x[:-1], z[:-1], least)
+    ok[1:] |= room >= 4 * z[1:]
+    out = np.empty(len(ok), bool)
+    out[order] = ok
+    return out
 
 
 def candidates(nodes: DataFrame, n: int) -> DataFrame:
@@ -391,8 +398,9 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
 
     A bucket holds the sets with one shingle in their prefix. Of the shared shingles, one is the first in both orders;
     what is left of both sets from it on bounds the number shared. A bucket with more pairs left than members that are
-    in one gives these members instead, as do large buckets, so no bucket gives more rows than it has. ``key`` is a
-    hash of the bucket's members: should two buckets meet by chance, they are compared as one, and nothing is lost.
+    in one gives these members instead, as do large buckets, so no bucket gives more rows than it has. ``key`` is the
+    least id of the members that sizes don't part: buckets of one family, each without a few of its sets, mostly have
+    the same, and give each set once, not once a bucket.
     """
     frequent, counts = frequent_shingles(nodes, n)
 
@@ -423,14 +431,18 @@ def candidates(nodes: DataFrame, n: int) -> DataFrame:
         of = bucket[pairs[:, 0]]
         dense = np.bincount(of, minlength=len(many)) > np.bincount(bucket[partner], minlength=len(many))
         pairs = np.unique(np.sort(ids[pairs[~dense[of]]], axis=1), axis=0)
-        member = np.flatnonzero(np.where(many > SMALL, True, dense)[bucket] & (partner | (many > SMALL)[bucket]))
-        # Buckets of the same members are one: shingles that a group shares give a single bucket, not one each.
-        same = np.zeros(len(many), np.uint64)
-        np.add.at(same, bucket[member], _mixed(ids[member]))
+        for s, e in zip(starts[many > SMALL].tolist(), ends[many > SMALL].tolist(), strict=True):
+            partner[s:e] = has_partner(left[s:e], size[s:e])
+        member = np.flatnonzero(np.where(many > SMALL, True, dense)[bucket] & partner)
+        member = member[np.lexsort((size[member], bucket[member]))]
+        of, z = bucket[member], size[member]
+        new = np.flatnonzero(np.r_[len(of) > 0, (of[1:] != of[:-1]) | (4 * z[1:] > 5 * z[:-1])])
+        low = np.repeat(np.minimum.reduceat(ids[member], new), np.diff(np.r_[new, len(of)])) if len(new) else ids[:0]
+        stars = np.unique(np.column_stack([low, ids[member], z]), axis=0)
         return pd.concat(
             [
                 pd.DataFrame({"a": pairs[:, 0], "b": pd.array(pairs[:, 1], "Int64"), "key": pd.array([None] * len(pairs), "Int64"), "size": 0}),
-                pd.DataFrame({"a": ids[member], "b": pd.array([None] * len(member), "Int64"), "key": pd.array(same.view(np.int64)[bucket[member]], "Int64"), "size": size[member]}),
+                pd.DataFrame({"a": stars[:, 1], "b": pd.array([None] * len(stars), "Int64"), "key": pd.array(stars[:, 0], "Int64"), "size": stars[:, 2]}),
             ]
         )
 
@@ -492,14 +504,15 @@ def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[t
     starts = np.cumsum(size) - size
     values, flat = np.unique(np.concatenate(sets), return_inverse=True)
     group, edges = np.unique(roots, return_inverse=True)[1], []
-    mark = np.zeros(len(values), bool)
+    mark, x = np.zeros(len(values), bool), _sketches([sketch(x) for x in sets])
     for i in range(len(sets)):
         other = np.flatnonzero((group[i + 1 :] != group[i]) & similar(np.minimum(size[i], size[i + 1 :]), size[i], size[i + 1 :])) + i + 1
+        other = other[may_be_similar(x[i], x[other], size[i], size[other])]
         if not len(other):
             continue
         own = flat[starts[i] : starts[i] + size[i]]
         mark[own] = True
-        if len(other) > 8:
+        if 8 * len(other) > len(sets):
             common = np.add.reduceat(mark[flat], starts, dtype=np.int64)[other]
         else:
             common = np.array([np.count_nonzero(mark[flat[starts[j] : starts[j] + size[j]]]) for j in other.tolist()])
@@ -528,7 +541,7 @@ def partnered(roots: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> np.n
 
 def _dealt(members: DataFrame) -> DataFrame:
     """(key, salt, id, size, root): ``members`` (key, id, size, root), those of large buckets dealt over pairs of blocks."""
-    split = members.groupBy("key").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("s"))
+    split = members.groupBy("key").agg(F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("s"))
     mine, other, s = F.pmod(F.xxhash64("id"), F.col("s")), F.col("o"), F.col("s")
     rows = members.join(split, "key").withColumn("o", F.explode(F.sequence(F.lit(0), s - 1)))
     return rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "size", "root")
@@ -605,10 +618,10 @@ def similar_links(nodes: DataFrame) -> DataFrame:
     Near fingerprints are looked up first; what is similar and has fingerprints further apart is found by prefixes, which
     miss no similar pair. Pairs and sets in one group by then aren't compared again.
 
-    Buckets that gave members are joined in two rounds: each set in the largest of its buckets, then all sets in the buckets that
-    still hold sets of several groups. What a step left on disk goes before the next, and steps that would move more
-    than a share ROUND of all sets are dealt over rounds. Only sets whose sketches leave it open that they are similar to
-    another are moved with their texts.
+    Buckets that gave members are joined as clusters: those with a set in common are one, so that each set is in one cluster
+    only, and not in as many rows as its family has buckets. What a step left on disk goes before the next, and steps that would
+    move more than a share ROUND of all sets are dealt over rounds. Only sets whose sketches leave it open that they are similar
+    to another are moved with their texts.
     """
     spark, n = nodes.sparkSession, nodes.count()
     near = fingerprint_edges(nodes, n)
@@ -624,18 +637,11 @@ def similar_links(nodes: DataFrame) -> DataFrame:
     del pairs
     if members.isEmpty():
         return edges
-    many = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    home = members.join(many, "key").groupBy("id").agg(F.max(F.struct("n", "key"))["key"].alias("key"), F.first("size").alias("size"))
-    home = home.join(components(edges), F.col("id") == F.col("node"), "left")
+    clusters = components(members, "id", "key").select(F.col("node").alias("id"), F.col("root").alias("key"))
+    home = members.select("id", "size").distinct().join(clusters, "id").join(components(edges), F.col("id") == F.col("node"), "left")
     home = checkpoint(home.select("key", "id", "size", F.coalesce("root", "id").alias("root")))
-    del many
-    edges = _joined_in_rounds(nodes, home, edges, n)
-    rooted = members.join(components(edges), F.col("id") == F.col("node"), "left").select("key", "id", "size", F.coalesce("root", "id").alias("root"))
-    rooted = checkpoint(rooted)
-    mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    left = checkpoint(rooted.join(mixed, "key"))
-    del home, members, rooted, mixed
-    return _joined_in_rounds(nodes, left, edges, n)
+    del members, clusters
+    return _joined_in_rounds(nodes, home, edges, n)
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:

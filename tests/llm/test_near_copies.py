@@ -215,3 +215,22 @@ def test_components_leave_few_partitions(spark, monkeypatch):
     edges = spark.range(0, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(30)
     assert {r["root"] for r in components(edges).collect()} == {0}
     assert len(seen) > 2 and max(seen[1:]) == 1
+
+
+def test_a_familys_buckets_give_each_set_about_once(spark):
+    """Each variant lacks a few of the family's shingles, so that hardly two buckets have the same members."""
+    texts = family(random.Random(7), 40)
+    rows = [(i, zlib.compress(t.encode())) for i, t in enumerate(texts)]
+    found = simhash.candidates(spark.createDataFrame(rows, "id long, packed binary"), len(rows)).toPandas()
+    members = found[found["b"].isna()][["key", "a"]].drop_duplicates()
+    assert members["a"].nunique() > 20 and len(members) <= 5 * len(texts)
+
+
+def test_partners_in_large_buckets_are_exact():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        size = rng.integers(1, 60, 40)
+        left = np.maximum(1, size - rng.integers(0, 12, 40) * size // 50)
+        pair = simhash.similar(np.minimum(left[:, None], left), size[:, None], size)
+        np.fill_diagonal(pair, False)
+        assert (simhash.has_partner(left, size) == pair.any(axis=1)).all()
