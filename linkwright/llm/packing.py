@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from linkwright.llm.common import checkpoint, documents, encoder, slices, tokenizer_path
+from linkwright.llm.common import checkpoint, documents, encoder, give_back, slices, tokenizer_path
 
 CONTEXT = 4096
 END_ID = 1
 #: A plan of more runs than this isn't sent to the executors by closure but joined by length and rank, this many ranks a group.
 MAX_RUNS = 1_000_000
 RANKS = 4096
+#: For ``pieces`` where other steps' workers stay beside its own: words and characters that take less memory and more time.
+FRUGAL = {"words": 150_000, "chars": 1_000_000}
 
 
 def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, int, int, int, int, int]]:
@@ -70,20 +72,22 @@ def plan(histogram: dict[int, int], context: int = CONTEXT) -> list[tuple[int, i
     return runs
 
 
-def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END_ID, words: int = 300_000, chars: int = 4_000_000) -> DataFrame:
     """(doc_id, piece, start, length, ids, part, nth): token pieces of whole texts, ``nth`` of their length in their task.
 
-    ``ids`` holds the piece's token ids in as many bytes each as the vocabulary needs (``unpacked``).
+    ``ids`` holds the piece's token ids in as many bytes each as the vocabulary needs (``unpacked``). ``words`` that an
+    encoder keeps and ``chars`` that it takes at once bound a worker's memory, no result.
     """
 
     out = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids", "part", "nth")])
 
     def cut(batches):
-        enc, nth, part = encoder(path), {}, TaskContext.get().partitionId()
+        give_back()  # what other steps left in this worker
+        enc, nth, part = encoder(path, words), {}, TaskContext.get().partitionId()
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, chars):
                 rows = []
                 for doc_id, ids in zip(doc_ids[lo:hi], enc.encode(texts[lo:hi]), strict=True):
                     ids = np.append(ids, enc.dtype(end_id))
@@ -92,6 +96,8 @@ def pieces(docs: DataFrame, path: str, context: int = CONTEXT, end_id: int = END
                         n = nth[len(piece)] = nth.get(len(piece), -1) + 1
                         rows.append((doc_id, k, start, len(piece), piece.tobytes(), part, n))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), out, strict=True)], schema=out)
+        batch = texts = rows = None
+        give_back()
 
     found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece long, start long, length long, ids binary, part long, nth long")
     return found.withColumn("piece", F.col("piece").cast("int"))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import bounded_batches, checkpoint, documents, keyed_rows, reclaim
+from linkwright.llm.common import bounded_batches, checkpoint, documents, give_back, keyed_rows, reclaim
 from linkwright.llm.graph import components
 
 BITS = 64
@@ -377,6 +377,9 @@ def _bucketed(batches, keys, found):
             held = held.iloc[cut:].reset_index(drop=True)
     if held is not None and len(held):
         yield found(held, np.array([0]), np.array([len(held)]))
+    held = None
+    _unpacked.cache_clear()
+    give_back()
 
 
 def has_partner(left: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -482,6 +485,8 @@ def similar_pairs(nodes: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
         for pdf in batches:
             ok = [similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(_sets(pdf["x"]), _sets(pdf["y"]), strict=True)]
             yield pdf.loc[ok, ["a", "b"]]
+        _unpacked.cache_clear()
+        give_back()
 
     out, pairs = None, checkpoint(_sketched(nodes, pairs))
     reclaim(nodes.sparkSession)

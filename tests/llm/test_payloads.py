@@ -6,6 +6,7 @@ from collections import Counter
 import pyarrow.parquet as pq
 import pytest
 
+import corpus_pipeline
 from linkwright.llm import common, packing, sharding, token_files
 from linkwright.llm.common import encoder, tokenizer_path
 
@@ -98,3 +99,19 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="checkpoint.dir"):
         common.shared_dir(Session)
+
+
+def test_packing_stage_bounds_what_workers_keep(spark):
+    """Of 480,000 different words in 3.4 million characters, an encoder that stays with its worker keeps a part at a time."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(6))
+    docs = spark.createDataFrame([(d, " ".join(word(d * 60_000 + i) for i in range(60_000))) for d in range(8)], "doc_id long, text string").coalesce(1)
+    assert corpus_pipeline.packing(spark, docs, "").where("start = 0").count() == 8
+
+    def held(batches):
+        from linkwright.llm import common
+
+        for batch in batches:
+            yield batch.assign(id=max((len(e.young) for e in common._ENCODERS.values()), default=0))
+
+    most = max(r[0] for _ in range(3) for r in spark.range(0, 8, 1, 8).mapInPandas(held, "id long").collect())
+    assert 0 < most <= 300_000
