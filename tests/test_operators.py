@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkwright import oracle, queries
 from linkwright.operators import blocking, metrics, model, validate
-from linkwright.plans import entities, resolver
+from linkwright.plans import entities, resolver, solver
 from linkwright.sources import tables
 from linkwright.streaming.resolve import resolve_stream
 
@@ -49,6 +49,23 @@ def test_ranking_moves_no_pairs(spark):
     assert got == [(n + 1, f"S2-{i:03}", 18) for n, i in enumerate([3, 17, 31, 45, 59])] and len(rows) == 1500
 
 
+def test_solver_moves_no_pairs(spark):
+    """Each of 300 references meets the first 150 of 300 records by one word; accepted records beyond these don't count."""
+
+    def moved():
+        sc = spark.sparkContext
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    r = records(spark, [(f"S2-{i:03}", 2, f"common word {chr(97 + i % 20) * 9}", "", "US") for i in range(300)])
+    s = records(spark, [(f"S1-{i:03}", 1, f"common {chr(97 + i % 20) * 9}", "", "US") for i in range(300)])
+    at = moved()
+    rows = {x["s1"]: x["ids"] for x in solver.solve(s, r, 0.45).collect()}
+    assert moved() - at < 10_000
+    assert len(rows) == 300 and rows["S1-003"] == [f"S2-{i:03}" for i in range(3, 150, 20)]
+
+
 def test_metrics_rules(spark):
     ents = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
     truth = spark.createDataFrame([("a", "x"), ("a", "y")], "s1 string, id string")
