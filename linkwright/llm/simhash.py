@@ -287,8 +287,10 @@ BLOCK_SHINGLES, BLOCK_SETS = 2_000_000, 8192
 SAMPLE, FREQUENT = 20_000, 100_000
 #: One round of comparing moves a share ROUND of all sets at most, and of few sets (ROUND_LEAST) any: this bounds the disk.
 ROUND, ROUND_LEAST = 0.5, 50_000
-#: Bits of a set's sketch.
+#: Least bits of a set's sketch.
 SKETCH_BITS = 1024
+#: Shingles and sets in a block of sketches: these take up to two bits a shingle, texts about 40.
+SKETCHED_SHINGLES, SKETCHED_SETS = 32 * BLOCK_SHINGLES, 2 * BLOCK_SETS
 #: Ids up to this number go to the executors by broadcast; more are joined.
 BROADCAST_IDS = 500_000
 
@@ -313,20 +315,54 @@ def similar(common, a, b):
 
 
 def sketch(keys: np.ndarray) -> bytes:
-    """Whether an odd number of ``keys`` falls into each of SKETCH_BITS classes, a bit each."""
-    return np.packbits(np.bincount(keys & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1).tobytes()
+    """Whether an odd number of ``keys`` falls into each class, a bit each.
+
+    Classes are a power of two and no fewer than ``keys``: in a narrower sketch unlike sets don't differ in enough bits.
+    """
+    bits = max(SKETCH_BITS, 1 << (len(keys) - 1).bit_length())
+    return np.packbits(np.bincount(keys & (bits - 1), minlength=bits) & 1).tobytes()
+
+
+class _Sketches:
+    """A column of sketches. Both halves of one, bit by bit, give that of half the bits: pairs differ at the shorter one's."""
+
+    def __init__(self, column):
+        self.own = [np.frombuffer(x, np.uint64) for x in column]
+        self.words = np.array([len(x) for x in self.own], np.int64)
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _level(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sketches of at least so many words at this width, and where each one's row is."""
+        if words not in self.levels:
+            has = self.words >= words
+            rows = [np.bitwise_xor.reduce(x.reshape(-1, words), axis=0) for x, ok in zip(self.own, has.tolist(), strict=True) if ok]
+            self.levels[words] = np.array(rows, np.uint64).reshape(-1, words), np.cumsum(has) - 1
+        return self.levels[words]
+
+    def differing(self, i: np.ndarray, other: _Sketches, j: np.ndarray) -> np.ndarray:
+        """In how many bits sketches ``i`` differ from ``j`` of ``other``."""
+        words, out = np.minimum(self.words[i], other.words[j]), np.empty(len(j), np.int64)
+        for w in np.unique(words).tolist():
+            (x, at), (y, to), some = self._level(w), other._level(w), np.flatnonzero(words == w)
+            out[some] = np.bitwise_count(x[at[i[some]]] ^ y[to[j[some]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    def may_be_similar(self, i: int, j: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether set ``i`` may be similar to each of ``j``; ``size``: how many shingles each has."""
+        return 9 * self.differing(np.full(len(j), i), self, j) <= size[i] + size[j]
 
 
-def _sketches(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint64).reshape(-1, SKETCH_BITS // 64)
+def _sketches(column) -> _Sketches:
+    return _Sketches(column)
 
 
-def may_be_similar(x, y, a, b) -> np.ndarray:
+def may_be_similar(x: _Sketches, y: _Sketches, a, b) -> np.ndarray:
     """Whether sets of ``a`` and ``b`` shingles with sketches ``x`` and ``y`` may be similar; False is certain.
 
     Similar sets differ in (a + b) / 9 shingles at most, and each of these changes one bit.
     """
-    return 9 * np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= a + b
+    every = np.arange(len(x.words))
+    return 9 * x.differing(every, y, every) <= a + b
 
 
 def _sets(column) -> list[np.ndarray]:
@@ -512,7 +548,7 @@ def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[t
     mark, x = np.zeros(len(values), bool), _sketches([sketch(x) for x in sets])
     for i in range(len(sets)):
         other = np.flatnonzero((group[i + 1 :] != group[i]) & similar(np.minimum(size[i], size[i + 1 :]), size[i], size[i + 1 :])) + i + 1
-        other = other[may_be_similar(x[i], x[other], size[i], size[other])]
+        other = other[x.may_be_similar(i, other, size)]
         if not len(other):
             continue
         own = flat[starts[i] : starts[i] + size[i]]
@@ -528,15 +564,15 @@ def forest(ids: np.ndarray, roots: np.ndarray, sets: list[np.ndarray]) -> list[t
     return edges
 
 
-def partnered(roots: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+def partnered(roots: np.ndarray, size: np.ndarray, sketches: _Sketches) -> np.ndarray:
     """Which sets of a bucket may be similar, by their sketches, to one that has another root."""
     order = np.argsort(size, kind="stable")
-    roots, size, x, ok = roots[order], size[order], sketches[order], np.zeros(len(order), bool)
+    roots, size, x, ok = roots[order], size[order], _Sketches([sketches.own[i] for i in order.tolist()]), np.zeros(len(order), bool)
     for i, end in enumerate(np.searchsorted(4 * size, 5 * size, "right").tolist()):
         j = np.arange(i + 1, end)[roots[i + 1 : end] != roots[i]]
         j = j[~ok[j]] if ok[i] else j
         if len(j):
-            hit = j[may_be_similar(x[i], x[j], size[i], size[j])]
+            hit = j[x.may_be_similar(i, j, size)]
             ok[hit] = True
             ok[i] |= len(hit) > 0
     out = np.empty(len(ok), bool)
@@ -544,9 +580,9 @@ def partnered(roots: np.ndarray, size: np.ndarray, sketches: np.ndarray) -> np.n
     return out
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """(key, salt, id, size, root): ``members`` (key, id, size, root), those of large buckets dealt over pairs of blocks."""
-    split = members.groupBy("key").agg(F.ceil(F.greatest(F.sum("size") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("s"))
+def _dealt(members: DataFrame, shingles: int, sets: int) -> DataFrame:
+    """(key, salt, id, size, root): ``members`` (key, id, size, root), those of buckets of over ``shingles`` or ``sets`` dealt over pairs of blocks."""
+    split = members.groupBy("key").agg(F.ceil(F.greatest(F.sum("size") / shingles, F.count(F.lit(1)) / sets)).cast("int").alias("s"))
     mine, other, s = F.pmod(F.xxhash64("id"), F.col("s")), F.col("o"), F.col("s")
     rows = members.join(split, "key").withColumn("o", F.explode(F.sequence(F.lit(0), s - 1)))
     return rows.select("key", (F.least(mine, other) * s + F.greatest(mine, other)).alias("salt"), "id", "size", "root")
@@ -560,19 +596,18 @@ def _partnered(nodes: DataFrame, members: DataFrame) -> DataFrame:
 
     def found(pdf, starts, ends):
         root, size = pdf["root"].to_numpy(np.int64), pdf["size"].to_numpy(np.int64)
-        x = _sketches(pdf["sketch"])
-        ok = np.concatenate([partnered(root[s:e], size[s:e], x[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+        ok = np.concatenate([partnered(root[s:e], size[s:e], _sketches(pdf["sketch"].iloc[s:e])) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
         return pdf.loc[ok, ["key", "id", "size", "root"]]
 
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _dealt(members).join(nodes.select("id", "sketch"), "id").select("key", "salt", "id", "size", "root", "sketch")
+    rows = _dealt(members, SKETCHED_SHINGLES, SKETCHED_SETS).join(nodes.select("id", "sketch"), "id").select("key", "salt", "id", "size", "root", "sketch")
     rows = rows.repartition(parts, "key", "salt").sortWithinPartitions("key", "salt", "id")
     return rows.mapInPandas(lambda batches: _bucketed(batches, ["key", "salt"], found), "key long, id long, size long, root long").distinct()
 
 
 def _joined(nodes: DataFrame, members: DataFrame) -> DataFrame:
     """Edges of each bucket's ``forest``. ``members``: (key, id, size, root). Large buckets are dealt over pairs of blocks."""
-    rows = _dealt(members).join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "packed")
+    rows = _dealt(members, BLOCK_SHINGLES, BLOCK_SETS).join(_needed(nodes, members.select("id")), "id").select("key", "salt", "id", "root", "packed")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def found(pdf, starts, ends):

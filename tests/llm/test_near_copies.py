@@ -194,6 +194,18 @@ def test_sketches_hide_no_similar_pair():
     assert not passes([p for p in far if 50 < len(p[0]) < 1000]).any()
 
 
+def test_long_sets_like_no_other_have_no_partner():
+    """Sketches are as wide as sets are large: of 40 long sets of different sizes only two similar ones may be similar."""
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(-(1 << 62), 1 << 62, 4500 + 30 * i) for i in range(40)]  # one width ends at 4096, one at 8192
+    sets[30] = np.r_[sets[3], sets[30][: len(sets[3]) // 6]]
+    sets += [rng.integers(-(1 << 62), 1 << 62, 4000), rng.integers(-(1 << 62), 1 << 62, 8400)]
+    sets[-1] = np.r_[sets[-1][:1500], sets[39], sets[-1][1500:1600]]
+    size = np.array([len(x) for x in sets])
+    near = simhash.partnered(np.arange(len(sets)), size, simhash._sketches([simhash.sketch(x) for x in sets]))
+    assert np.flatnonzero(near).tolist() == [3, 30]
+
+
 def test_sets_like_no_other_are_not_moved(spark, monkeypatch):
     """A line that many unlike texts share makes a large bucket; only the two copies in it are compared by their texts."""
     rng, moved, needed = random.Random(12), [], simhash._needed
