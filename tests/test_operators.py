@@ -2,6 +2,8 @@
 
 import glob
 import os
+import random
+import time
 
 import duckdb
 import pytest
@@ -49,6 +51,45 @@ def test_ranking_moves_no_pairs(spark):
     assert got == [(n + 1, f"S2-{i:03}", 18) for n, i in enumerate([3, 17, 31, 45, 59])] and len(rows) == 1500
 
 
+def test_ranking_is_exact_over_batches(spark):
+    """Every reference meets every record by one long word; lists and references come in batches of 7 rows, some lists are short."""
+    rng = random.Random(8)
+    some = lambda n, of: " ".join(rng.choice(of) for _ in range(rng.randrange(n)))
+    names, streets, lands = ["alpha", "alphabet", "bete", "beta", "gamma", "ny"], ["elm 5", "oak 5 7", "9", "pine", "77 elm"], ["", "US", "FR", " fr"]
+    make = lambda src, n: [(f"S{src}-{i}", src, f"{some(4, names)} commonlongword", some(3, streets), rng.choice(lands)) for i in range(n)]
+    mine, theirs = make(1, 40), make(2, 50) + make(3, 30)
+    words = lambda x: [w for w in dict.fromkeys(x.split()) if len(w) >= 3]
+
+    def score(a, b):
+        n, m, h, g = words(a[2]), b[2].split(), *({w for w in x[3].split() if w.isdigit()} for x in (a, b))
+        over_n, over_a = len(set(n) & set(m)), len(set(words(a[3])) & set(b[3].split()))
+        same, prefix = n[0] == m[0], min(len(n[0]), len(m[0])) >= 4 and n[0][:4] == m[0][:4]
+        house = 0 if not (h and g) else 3 if h == g else -1 if not h & g else 0
+        return 4 * over_n + 5 * (over_n > 1) + 2 * over_a + 4 * (over_a > 1) + 3 * same + 2 * prefix + house
+
+    land = lambda x: x[4].strip().lower()
+    # cleaning drops a word that repeats the one before it; sets don't change by that
+    want = {a[0]: sorted((-score(a, b), b[1], b[0]) for b in theirs if not land(a) or not land(b) or land(a) == land(b))[:6] for a in mine}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = blocking.ranked_candidates(*[blocking.prepare(records(spark, x)) for x in (mine, theirs)], 6).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {}
+    for x in sorted(rows, key=lambda x: x["rank"]):
+        got.setdefault(x["s1"], []).append((-x["score"], x["src"], x["id"]))
+    assert got == want
+
+
+def test_ranking_scores_many_pairs_at_once(spark):
+    """24,000 references meet 400 records by two words each: 20 million scores, too many to take one by one."""
+    r = blocking.prepare(records(spark, [(f"S2-{i:03}", 2, f"alphaword{i % 5} betaword", f"{i % 9} elm", "") for i in range(400)]))
+    s = blocking.prepare(spark.range(24_000).selectExpr("'S1-' || id AS id", "1 AS src", "'alphaword' || id % 5 || ' betaword' AS name", "id % 9 || ' elm' AS addr", "'' AS country"))
+    start = time.monotonic()
+    assert blocking.ranked_candidates(s, r, 5).count() == 120_000
+    assert time.monotonic() - start < 25
+
+
 def test_solver_moves_no_pairs(spark):
     """Each of 300 references meets the first 150 of 300 records by one word; accepted records beyond these don't count."""
 
